@@ -70,7 +70,7 @@ def int_date_diff(later, earlier) -> Column:
 def parse_date_lenient(c, default: str = DEFAULT_DATE) -> Column:
     """YYYYMMDD integer -> date; anything invalid -> ``default``."""
     s = col_of(c).cast("string")
-    parsed = F.when(F.length(s) == 8, F.try_to_date(s, F.lit("yyyyMMdd")))
+    parsed = F.when(F.length(s) == 8, F.try_to_date(s, "yyyyMMdd"))
     return F.coalesce(parsed, F.lit(default).cast("date"))
 
 
