@@ -56,7 +56,7 @@ def missing_matrix(df: DataFrame, key: str, cols: Sequence[str], n: int = 100) -
         for c in cols])).alias("_s")).select(key, "_s.*")
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 3, **qkw) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 3, **qkw) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max per column (exact quartiles)."""
     cols = list(cols)
     aggs = []
@@ -71,7 +71,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int = 3, **qkw) -> Data
     q = quantile_columns(df, cols, [0.25, 0.5, 0.75], **qkw).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
           for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-    r = lambda c: F.round(F.col(c), digits).alias(c)
+    r = lambda c: (F.round(F.col(c), digits) if digits is not None else F.col(c)).alias(c)
     return stats.join(q, "column", "left").select(
         "column", "count", r("mean"), r("std"), r("min"), r("q25"), r("q50"), r("q75"), r("max"))
 
