@@ -56,12 +56,29 @@ def target_encode(train: DataFrame, df: DataFrame, cols: Sequence[str], target:
 # ------------------------------------------------------------ frequency
 
 
+def fit_freq_encoding(df: DataFrame, cols: Sequence[str], unknown: str = UNKNOWN_LABEL) -> DataFrame:
+    """Share of rows per (feature, value) for several columns in ONE aggregation.
+
+    Long form ``feature, value, freq``; NULL is counted as ``unknown``.
+    """
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"),
+                 F.coalesce(F.col(c).cast("string"), F.lit(unknown)).alias("value")) for c in cols
+    ])).alias("_s")).select("_s.*")
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.where(F.col("feature") == cols[0]).agg(F.sum("_c")).scalar()
+    return counts.select("feature", "value", (F.col("_c") / total).alias("freq"))
+
+
 def freq_encode(df: DataFrame, cols: Sequence[str], unknown: str = UNKNOWN_LABEL) -> DataFrame:
     """NULL -> '未知', the column becomes a string, ``<col>_freq`` = share of rows."""
-    out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(unknown)).alias(c) if c in cols
-                      else F.col(c) for c in df.columns])
+    cols = list(cols)
+    p = checked_broadcast(fit_freq_encoding(df, cols, unknown))
+    out = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(unknown)) for c in cols})
     for c in cols:
-        out = left_join_params(out, freq_table(out, c), c)
+        pc = p.where(F.col("feature") == c).select(F.col("value").alias(f"_fv_{c}"),
+                                                   F.col("freq").alias(f"{c}_freq"))
+        out = out.join(pc, F.col(c) == F.col(f"_fv_{c}"), "left").drop(f"_fv_{c}")
     return out
 
 
