@@ -115,9 +115,9 @@ def region_features(train: DataFrame, df: DataFrame) -> DataFrame:
     return E.impute_from_column(out, "brand_region_avg_price", "brand_avg_price")
 
 
-def flagship_features(train: DataFrame, df: DataFrame, as_of_year: int) -> DataFrame:
+def flagship_features(train: DataFrame, df: DataFrame, as_of_year: int, keep=()) -> DataFrame:
     """Basic model inputs: cleaned damage flag, car age, category codes,
-    NULL -> training median, anything left -> 0."""
+    NULL -> training median, anything left -> 0 (``keep``: extra columns to carry)."""
     def basic(t):
         t = clean(t).withColumn("car_age", D.car_age(
             F.substring(F.col("reg_date").cast("string"), 1, 4).try_cast("int"), as_of_year))
@@ -128,7 +128,7 @@ def flagship_features(train: DataFrame, df: DataFrame, as_of_year: int) -> DataF
     feats = ["power", "kilometer", "not_repaired", "region_code", "offer_type", "car_age"] + V_COLS
     out = E.impute_median(tr, out, feats)
     out = E.impute_zero(out, feats)
-    return out.select(KEY, TARGET, *feats, *[f"{c}_code" for c in CATEGORICAL])
+    return out.select(KEY, TARGET, *keep, *feats, *[f"{c}_code" for c in CATEGORICAL])
 
 
 def car_features(data: DataFrame, as_of_year: int) -> DataFrame:

@@ -23,9 +23,7 @@ GBT_ROUNDS = 30
 
 def _frames(spark, sf):
     """Flagship features for all listings, tagged with the repeatable split."""
-    feats = FE.flagship_features(TRAIN(spark, sf), L(spark, sf), AS_OF_YEAR)
-    src = L(spark, sf).select("sale_key", "source")
-    d = feats.join(src, "sale_key")
+    d = FE.flagship_features(TRAIN(spark, sf), L(spark, sf), AS_OF_YEAR, keep=["source"])
     # the feature frame feeds several passes (fit, scoring, per-round errors):
     # keep it once; lost blocks are recomputed from lineage
     d = EVO.holdout_split(d, "sale_key", VALID_PCT).persist(StorageLevel.MEMORY_AND_DISK)
