@@ -140,6 +140,25 @@ def category_codes_shared(train: DataFrame, df: DataFrame, col: str) -> DataFram
     return apply_category_codes(df, fit_category_codes(train, col), col)
 
 
+def fit_category_codes_many(train: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sorted codes for several columns in ONE pass: long form ``feature, value, code``."""
+    long = train.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
+    ])).alias("_s")).select("_s.*")
+    return dense_codes(long, "value", ["feature"], code_col="code")
+
+
+def apply_category_codes_many(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``<col>_code`` for each column; NULL and unseen -> -1."""
+    p = checked_broadcast(codes)
+    for c in cols:
+        pc = p.where(F.col("feature") == c).select(F.col("value").alias(f"_cv_{c}"), F.col("code").alias(f"_cc_{c}"))
+        df = (df.join(pc, F.col(c).cast("string") == F.col(f"_cv_{c}"), "left")
+                .withColumn(f"{c}_code", F.coalesce(F.col(f"_cc_{c}"), F.lit(-1)))
+                .drop(f"_cv_{c}", f"_cc_{c}"))
+    return df
+
+
 def fit_first_seen_codes(train: DataFrame, col: str, order_col: str) -> DataFrame:
     """Codes in order of first appearance (by ``order_col``)."""
     first = (train.where(F.col(col).isNotNull()).groupBy(col)

@@ -1,17 +1,18 @@
 """Joining fitted parameter tables back onto the big table.
 
 Fitted tables (one row per key) are small only when the key has few
-values.  ``checked_broadcast`` materialises the table once (it is the fitted
-model; later joins reuse it), counts it and adds the broadcast hint only
-under a row limit.  Beyond the limit the join stays a shuffle join, where
-adaptive execution splits skewed keys.
+values.  ``checked_broadcast`` materialises the table once with a reliable
+checkpoint into the shared checkpoint folder (it is the fitted model: later
+joins read it instead of re-running the fit, and a lost executor does not
+lose it), counts it and adds the broadcast hint only under a row limit.
+Beyond the limit the join stays a shuffle join, where adaptive execution
+splits skewed keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +28,17 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def checked_broadcast(params: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Persist ``params``, count it, and hint a broadcast only when it is small."""
+    """Checkpoint ``params``, count it, and hint a broadcast only when it is small.
+
+    A checkpoint (not ``persist``) because fitted plans may carry scalar
+    subqueries, which defeat the cache lookup and would re-run the fit on
+    every use; the checkpointed plan is a plain scan of written data.
+    """
+    from ..session import ensure_checkpoint_dir
     limit = max_rows if max_rows is not None else max_broadcast_rows(params)
-    params = params.persist(StorageLevel.MEMORY_AND_DISK)
-    n = params.limit(limit + 1).count()
+    ensure_checkpoint_dir(params.sparkSession)
+    params = params.checkpoint(eager=True)
+    n = params.count()
     return F.broadcast(params) if n <= limit else params
 
 

@@ -13,6 +13,10 @@ from .joins import ScalarRow
 from .quantiles import exact_quantiles, quantile_row
 
 
+# Row bound under which the exact quantile of a materialised table may run in one task.
+SMALL_ROWS = 100_000
+
+
 def qcut_tier(stats: DataFrame, col: str, out: str, labels: Sequence[str] = TIER_LABELS,
               digits: int = 6, **qkw) -> DataFrame:
     """Quantile bins of ``col`` over the rows of ``stats`` (e.g. one row per brand).
@@ -23,9 +27,18 @@ def qcut_tier(stats: DataFrame, col: str, out: str, labels: Sequence[str] = TIER
     give the lower label.
     """
     k = len(labels)
-    r = stats.withColumn("_qt_x", F.round(F.col(col), digits))
-    q = exact_quantiles(r, "_qt_x", [i / k for i in range(1, k)], **qkw)
-    wide = q.agg(*[F.max(F.when(F.col("p") == i / k, F.col("q"))).alias(f"e{i}") for i in range(1, k)])
+    probs = [i / k for i in range(1, k)]
+    # the rows are fitted statistics (one per key): write them once and count
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(stats.sparkSession)
+    r = stats.withColumn("_qt_x", F.round(F.col(col), digits)).checkpoint(eager=True)
+    if r.count() <= SMALL_ROWS:
+        # proven small: Spark's exact percentile in one task is bounded
+        wide = r.agg(F.percentile("_qt_x", F.array(*[F.lit(p) for p in probs])).alias("_e")).select(
+            *[F.col("_e")[i - 1].alias(f"e{i}") for i in range(1, k)])
+    else:
+        q = exact_quantiles(r, "_qt_x", probs, **qkw)
+        wide = q.agg(*[F.max(F.when(F.col("p") == i / k, F.col("q"))).alias(f"e{i}") for i in range(1, k)])
     s = ScalarRow(wide)
     edges = [s[f"e{i}"] for i in range(1, k)]
     return r.withColumn(out, cut_by_columns(F.col("_qt_x"), edges, labels)).drop("_qt_x")

@@ -56,18 +56,21 @@ def missing_matrix(df: DataFrame, key: str, cols: Sequence[str], n: int = 100) -
         for c in cols])).alias("_s")).select(key, "_s.*")
 
 
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
+    )).alias("_s")).select("_s.*")
+
+
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 3, **qkw) -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max per column (exact quartiles)."""
+    """count, mean, std, min, 25/50/75 %, max per column (exact quartiles).
+
+    Moments come from one grouped aggregation over the long form (column, x).
+    """
     cols = list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    stats = _stack(df.agg(*aggs), [F.struct(
-        F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"a{i}").alias("mean"),
-        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])
+    stats = _long(df, cols).groupBy("column").agg(
+        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"))
     q = quantile_columns(df, cols, [0.25, 0.5, 0.75], **qkw).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
           for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
@@ -218,13 +221,32 @@ def pair_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
 
 
+def _pairs_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Rows of (col_a, col_b, x, y) for every pair where both values are present.
+
+    Long form keeps the aggregation grouped with small buffers (codegen
+    friendly) instead of one projection with hundreds of aggregate functions.
+    """
+    arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                    for a, b in pairs])
+    return (df.select(F.explode(arr).alias("_p")).select("_p.*")
+              .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+
+
+def _corr_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    return _pairs_long(df, pairs).groupBy("col_a", "col_b").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
+
+
 def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str,
                             top: int | None = None) -> DataFrame:
     """r of each column with the target, strongest positive first."""
-    y = F.col(target).cast("double")
-    one = df.agg(*[pair_corr(F.col(c).cast("double"), y).alias(f"_r{i}") for i, c in enumerate(cols)])
-    out = _stack(one, [F.struct(F.lit(c).alias("column"), F.col(f"_r{i}").alias("corr"))
-                       for i, c in enumerate(cols)])
+    cols = list(cols)
+    r = _corr_long(df, [(c, target) for c in cols])
+    # a column with no complete pair still gets a row (r NULL)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = names.join(F.broadcast(r.select(F.col("col_a").alias("column"), "corr")), "column", "left")
     out = out.orderBy(F.desc_nulls_last("corr"), F.asc("column"))
     return out.limit(top) if top else out
 
@@ -232,18 +254,13 @@ def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str,
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """All pairs (long form col_a, col_b, corr), pairwise complete, one pass."""
     cols = list(cols)
-    aggs, parts = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            aggs.append(pair_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}_{j}"))
-    one = df.agg(*aggs)
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            k = f"_r{min(i, j)}_{max(i, j)}"
-            parts.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(k).alias("corr")))
-    return _stack(one, parts)
+    upper = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    r = _corr_long(df, upper)
+    mirror = r.where(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
+    full = r.unionByName(mirror)
+    grid = df.sparkSession.createDataFrame([(a, b) for a in cols for b in cols], "col_a string, col_b string")
+    return grid.join(F.broadcast(full), ["col_a", "col_b"], "left")
 
 
 def low_correlation_report(df: DataFrame, cols: Sequence[str], target: str,

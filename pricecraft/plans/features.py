@@ -123,8 +123,7 @@ def flagship_features(train: DataFrame, df: DataFrame, as_of_year: int, keep=())
             F.substring(F.col("reg_date").cast("string"), 1, 4).try_cast("int"), as_of_year))
         return t
     tr, out = basic(train), basic(df)
-    for c in CATEGORICAL:
-        out = E.apply_category_codes(out, E.fit_category_codes(tr, c), c)
+    out = E.apply_category_codes_many(out, E.fit_category_codes_many(tr, CATEGORICAL), CATEGORICAL)
     feats = ["power", "kilometer", "not_repaired", "region_code", "offer_type", "car_age"] + V_COLS
     out = E.impute_median(tr, out, feats)
     out = E.impute_zero(out, feats)
