@@ -13,10 +13,6 @@ from .joins import ScalarRow
 from .quantiles import exact_quantiles, quantile_row
 
 
-# Row bound under which the exact quantile of a materialised table may run in one task.
-SMALL_ROWS = 100_000
-
-
 def qcut_tier(stats: DataFrame, col: str, out: str, labels: Sequence[str] = TIER_LABELS,
               digits: int = 6, **qkw) -> DataFrame:
     """Quantile bins of ``col`` over the rows of ``stats`` (e.g. one row per brand).
@@ -32,7 +28,8 @@ def qcut_tier(stats: DataFrame, col: str, out: str, labels: Sequence[str] = TIER
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(stats.sparkSession)
     r = stats.withColumn("_qt_x", F.round(F.col(col), digits)).checkpoint(eager=True)
-    if r.count() <= SMALL_ROWS:
+    from .quantiles import small_rows
+    if r.count() <= small_rows(stats):
         # proven small: Spark's exact percentile in one task is bounded
         wide = r.agg(F.percentile("_qt_x", F.array(*[F.lit(p) for p in probs])).alias("_e")).select(
             *[F.col("_e")[i - 1].alias(f"e{i}") for i in range(1, k)])

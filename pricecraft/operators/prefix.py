@@ -152,8 +152,14 @@ def dense_codes(df: DataFrame, value_col: str, keys: Sequence[str] = (),
 
     The skew-safe equivalent of ``dense_rank() - 1`` over distinct values.
     """
+    from .quantiles import _materialize, small_rows
     keys = list(keys)
-    d = (df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct()
-           .withColumn("_one", F.lit(1).cast("long")))
+    d = df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct()
+    d, n = _materialize(d)
+    if n <= small_rows(df):
+        # proven small: a ranking window over at most small_rows rows is bounded
+        w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(value_col)
+        return d.select(*keys, value_col, (F.dense_rank().over(w) - 1).cast("int").alias(code_col))
+    d = d.withColumn("_one", F.lit(1).cast("long"))
     return prefix_sums(d, keys, [value_col], ["_one"], num_partitions).select(
         *keys, value_col, F.col("_one_before").cast("int").alias(code_col))

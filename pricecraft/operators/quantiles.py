@@ -20,6 +20,13 @@ with bounded work per task:
 NULL and NaN values are ignored, NULL keys are dropped (pandas ``groupby``).
 ``method="approx"`` switches to ``percentile_approx`` for a cheaper,
 approximate answer.
+
+Size-checked fast path: the (key, value, count) table from step 1 is
+written once (checkpoint in the shared folder) and counted.  When it has at
+most ``pricecraft.quantile.smallRows`` rows (default 200,000), Spark's exact
+``percentile(value, p, count)`` aggregate runs on it directly: no task can
+hold more than that many entries.  Larger tables (continuous values at
+scale) take steps 2-5.
 """
 
 from __future__ import annotations
@@ -32,6 +39,21 @@ from pyspark.sql import functions as F
 from .prefix import prefix_sums
 
 _V, _C = "_q_v", "_q_c"
+SMALL_ROWS = 200_000
+SMALL_CONF = "pricecraft.quantile.smallRows"
+
+
+def small_rows(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(SMALL_CONF, None)
+    return int(v) if v else SMALL_ROWS
+
+
+def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` once (reliable checkpoint in the shared folder) and count it."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    d = df.checkpoint(eager=True)
+    return d, d.count()
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
@@ -56,6 +78,14 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
             *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
 
     counts = base.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
+    counts, n_counts = _materialize(counts)
+    if n_counts <= small_rows(df):
+        arr = F.percentile(_V, F.array(*[F.lit(p) for p in probs]), F.col(_C))
+        agg = counts.groupBy(*keys).agg(arr.alias("_qs")) if keys else counts.agg(arr.alias("_qs"))
+        if not keys:
+            agg = agg.where(F.col("_qs").isNotNull())
+        return agg.select(*keys, F.posexplode("_qs").alias("_i", "q")).select(
+            *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
     ranked = prefix_sums(counts, keys, [_V], [_C], num_partitions, with_totals=True)
     p_arr = F.array(*[F.lit(p) for p in probs])
     r0 = F.col(f"{_C}_before")

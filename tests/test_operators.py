@@ -18,8 +18,16 @@ from pricecraft.operators.prefix import dense_codes, prefix_sums
 from pricecraft.operators.quantiles import exact_quantiles
 
 
+@pytest.fixture(params=["small", "large"])
+def path(spark, request):
+    """Run a test through the small-table path and through the skew-safe path."""
+    spark.conf.set("pricecraft.quantile.smallRows", "200000" if request.param == "small" else "0")
+    yield request.param
+    spark.conf.unset("pricecraft.quantile.smallRows")
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_exact_quantiles_match_pandas_under_skew(spark, seed):
+def test_exact_quantiles_match_pandas_under_skew(spark, seed, path):
     rng = np.random.default_rng(seed)
     n = 3000
     k = np.where(rng.random(n) < 0.5, "hot", rng.choice(["a", "b", "c"], n))
@@ -36,7 +44,7 @@ def test_exact_quantiles_match_pandas_under_skew(spark, seed):
     assert np.allclose(m.q_x, m.q_y, rtol=0, atol=1e-9)
 
 
-def test_quantiles_single_value_and_empty_group(spark):
+def test_quantiles_single_value_and_empty_group(spark, path):
     df = spark.createDataFrame([("a", 5.0), ("b", None)], "k string, v double")
     got = exact_quantiles(df, "v", [0.25, 0.5], ["k"]).orderBy("p").collect()
     assert [(r.k, r.q) for r in got] == [("a", 5.0), ("a", 5.0)]
@@ -53,7 +61,7 @@ def test_prefix_sums_match_window(spark):
     assert (m.m_total == m.groupby("k").m_x.transform("sum")).all()
 
 
-def test_dense_codes_sorted(spark):
+def test_dense_codes_sorted(spark, path):
     df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "a"]], "v string")
     got = {r.v: r.code for r in dense_codes(df, "v").collect()}
     assert got == {"a": 0, "b": 1, "c": 2}
@@ -82,7 +90,7 @@ def test_target_encoding_unseen_and_null(spark):
     assert out["zz"] == 4.0 and out[None] == 4.0    # global mean of all training rows
 
 
-def test_tied_group_means_go_to_lower_tier(spark):
+def test_tied_group_means_go_to_lower_tier(spark, path):
     st = spark.createDataFrame([(f"b{i}", float(v)) for i, v in enumerate([1, 2, 2, 2, 3, 4, 5, 6, 7])],
                                "brand string, m double")
     got = {r.brand: r.tier for r in qcut_tier(st, "m", "tier").collect()}
@@ -101,7 +109,7 @@ def test_freq_encode_null_label(spark):
     assert out == {"a": 0.5, "未知": 0.25, "b": 0.25}
 
 
-def test_category_codes_shared_unseen(spark):
+def test_category_codes_shared_unseen(spark, path):
     tr = spark.createDataFrame([("b",), ("a",)], "c string")
     te = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
     got = {r.c: r.c_code for r in E.category_codes_shared(tr, te, "c").collect()}
@@ -126,7 +134,7 @@ def test_standard_scale_pop_std_and_zero_std(spark):
     assert [r.a for r in out] == [-1.0, 1.0] and [r.b for r in out] == [0.0, 0.0]
 
 
-def test_impute_median_uses_train(spark):
+def test_impute_median_uses_train(spark, path):
     tr = spark.createDataFrame([(1.0,), (2.0,), (10.0,), (None,)], "x double")
     te = spark.createDataFrame([(None,), (5.0,)], "x double")
     assert [r.x for r in E.impute_median(tr, te, ["x"]).collect()] == [2.0, 5.0]
