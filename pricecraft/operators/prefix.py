@@ -28,6 +28,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KIND = "_px_kind"
+# Target rows per range partition of the prefix pass.
+ROWS_PER_RANGE = 1_000_000
+
+
+def auto_partitions(spark, n_rows: int) -> int:
+    """Range partitions for ``n_rows``: at least one per core, about a million rows each.
+
+    (A fixed count is required: adaptive coalescing could cut the two
+    readers of the range shuffle differently.)
+    """
+    return max(int(spark.sparkContext.defaultParallelism), -(-int(n_rows) // ROWS_PER_RANGE), 1)
 
 
 def _seg(i: int) -> str:
@@ -110,14 +121,16 @@ def _local_prefix(cols: list[str], keys: list[str], orders: list[str], measures:
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], orders: Sequence[str],
                 measures: Sequence[str], num_partitions: int | None = None,
-                with_totals: bool = False) -> DataFrame:
+                with_totals: bool = False, n_rows: int | None = None) -> DataFrame:
     """Add ``<m>_before`` = sum of ``m`` over earlier rows of the same key.
 
-    With ``with_totals`` also ``<m>_total`` = sum over the whole key.
+    With ``with_totals`` also ``<m>_total`` = sum over the whole key.  The
+    range-partition count comes from ``num_partitions``, else from the row
+    count (``n_rows`` or one counting pass).
     """
     keys, orders, measures = list(keys), list(orders), list(measures)
     spark = df.sparkSession
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nparts = num_partitions or auto_partitions(spark, n_rows if n_rows is not None else df.count())
     cols = df.columns
     fields = {f.name: f for f in df.schema.fields}
     ranged = df.repartitionByRange(nparts, *keys, *orders).sortWithinPartitions(*keys, *orders)
@@ -161,5 +174,5 @@ def dense_codes(df: DataFrame, value_col: str, keys: Sequence[str] = (),
         w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(value_col)
         return d.select(*keys, value_col, (F.dense_rank().over(w) - 1).cast("int").alias(code_col))
     d = d.withColumn("_one", F.lit(1).cast("long"))
-    return prefix_sums(d, keys, [value_col], ["_one"], num_partitions).select(
+    return prefix_sums(d, keys, [value_col], ["_one"], num_partitions, n_rows=n).select(
         *keys, value_col, F.col("_one_before").cast("int").alias(code_col))

@@ -86,7 +86,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
             agg = agg.where(F.col("_qs").isNotNull())
         return agg.select(*keys, F.posexplode("_qs").alias("_i", "q")).select(
             *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
-    ranked = prefix_sums(counts, keys, [_V], [_C], num_partitions, with_totals=True)
+    ranked = prefix_sums(counts, keys, [_V], [_C], num_partitions, with_totals=True, n_rows=n_counts)
     p_arr = F.array(*[F.lit(p) for p in probs])
     r0 = F.col(f"{_C}_before")
     j = (ranked.select(*keys, _V, r0.alias("_r0"), (r0 + F.col(_C)).alias("_r1"), F.explode(p_arr).alias("p"),
