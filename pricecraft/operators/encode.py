@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.binning import AGE_LABELS, KM_LABELS, POWER_LABELS, REG_YEAR_LABELS, TIER_LABELS
 from ..functions.dates import QUARTER_SEASONS
 from ..functions.scalars import MISSING_LABEL, UNKNOWN_LABEL
-from .groupstats import freq_table, global_mean
+from .groupstats import global_mean
 from .joins import ScalarRow, checked_broadcast, left_join_params
 from .prefix import dense_codes, prefix_sums
 from .quantiles import quantile_columns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import q_encode, q_eval, q_io, q_models, q_pipelines, q_profile, q_scalars  # noqa: F401
+from . import q_encode, q_eval, q_io, q_models, q_pipelines, q_profile, q_scalars  # noqa: F401  (fills the registry)
 from .registry import AS_OF_YEAR, ORACLES, QUERIES, TRAIN, L, register
 from . import features as FE
 from ..operators.joins import left_join_params

@@ -11,7 +11,7 @@ from . import evalsets as EV
 from . import features as FE
 from .q_profile import NUMERIC
 from .q_scalars import TF_CTES
-from .registry import AS_OF_YEAR, R, TRAIN, VALID_PCT, register
+from .registry import AS_OF_YEAR, TRAIN, VALID_PCT, register
 
 PATIENCE = 10
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import binning as B
 from ..functions import scalars as S
-from ..operators import groupstats as G
 from ..operators import profile as P
 from ..operators.outliers import iqr_filter
 from . import features as FE
