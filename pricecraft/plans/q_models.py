@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as EVO
@@ -25,8 +24,10 @@ def _frames(spark, sf):
     """Flagship features for all listings, tagged with the repeatable split."""
     d = FE.flagship_features(TRAIN(spark, sf), L(spark, sf), AS_OF_YEAR, keep=["source"])
     # the feature frame feeds several passes (fit, scoring, per-round errors):
-    # keep it once; lost blocks are recomputed from lineage
-    d = EVO.holdout_split(d, "sale_key", VALID_PCT).persist(StorageLevel.MEMORY_AND_DISK)
+    # write it once to the shared checkpoint folder (its plan carries scalar
+    # subqueries, which a persisted copy would not be matched against)
+    ensure_checkpoint_dir(spark)
+    d = EVO.holdout_split(d, "sale_key", VALID_PCT).checkpoint(eager=True)
     labelled = d.where(F.col("source") == "train")
     return labelled.where(F.col("split") == "train"), labelled.where(F.col("split") == "valid"), \
         d.where(F.col("source") == "test")
