@@ -10,8 +10,9 @@ Scale notes: ``lineitem ⨝ orders`` is a large-large equi-join (sort-merge on
 the order key, both sides shuffled once); ``part`` and ``customer`` joins are
 left to the planner (adaptive execution turns them into broadcasts when their
 measured size is under the threshold).  ``embeddings`` is keyed by
-``l_partkey % 500`` and therefore holds at most 500 useful rows: the filter
-``vec_id < 500`` bounds it, which makes the broadcast safe at any scale.
+``l_partkey % 500``, so only ``vec_id < 500`` can match; that side is filtered,
+written once and counted, and broadcast only under the row limit (a
+shuffle join otherwise).
 """
 
 from __future__ import annotations
@@ -75,6 +76,11 @@ LISTING_COLUMNS = (["sale_key", "reg_date", "creat_date", "brand", "model", "bod
                    + [f"v_{i}" for i in range(N_V)] + ["source"])
 
 
+def _checked(df: DataFrame) -> DataFrame:
+    from ..operators.joins import checked_broadcast
+    return checked_broadcast(df)
+
+
 def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the listings DataFrame from the driver tables (lazy)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -93,7 +99,7 @@ def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(cust, F.col("o_custkey") == cust.c_custkey)
            .join(part, F.col("l_partkey") == part.p_partkey)
-           .join(F.broadcast(emb), (F.col("l_partkey") % EMBED_MOD) == emb.vec_id, "left"))
+           .join(_checked(emb), (F.col("l_partkey") % EMBED_MOD) == F.col("vec_id"), "left"))
 
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
     return j.select(
