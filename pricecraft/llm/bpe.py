@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +103,8 @@ class WordIds(dict):
 
 
 class ChunkIds(dict):
-    """A space and what follows it up to the next word -> ids.
+    """Chunk key -> ids of the chunk, a space and what follows it up to the
+    next word (``chunk_keys``).
 
     The pattern always starts a new word at a space followed by a non-space
     and looks at nothing before it, so a text may be cut there."""
@@ -110,9 +112,9 @@ class ChunkIds(dict):
     def __init__(self, words: WordIds, pattern):
         self.words, self.find = words, pattern.findall
 
-    def __missing__(self, chunk: str) -> bytes:
-        v = b"".join(map(self.words.__getitem__, self.find(chunk)))
-        self[chunk] = v
+    def __missing__(self, key: str) -> bytes:
+        v = b"".join(map(self.words.__getitem__, self.find(key[1:] if key[0] == " " else " " + key)))
+        self[key] = v
         return v
 
 
@@ -128,13 +130,18 @@ def cut_at_spaces(text: str) -> list[str]:
     return out
 
 
-def _chunks_of(text: str) -> list[str]:
-    if "  " in text or " \n" in text or " \t" in text:
-        return cut_at_spaces(text)
-    parts = text.split(" ")
-    if all(p and not p[0].isspace() for p in parts[1:]):
-        return [parts[0], *[" " + p for p in parts[1:]]]
-    return cut_at_spaces(text)
+_SPACES = re.compile(r" (?:\s|$)")
+
+
+def chunk_keys(text: str) -> list[str]:
+    """The chunks of a text as memo keys: a space before the first one, and
+    the others without the space that they begin with."""
+    if _SPACES.search(text) is None:
+        keys = text.split(" ")
+        keys[0] = " " + keys[0]
+        return keys
+    cut = cut_at_spaces(text)
+    return [" " + cut[0], *[c[1:] for c in cut[1:]]]
 
 
 def encode_bpe(docs: DataFrame, rank_file: str, pattern: str, text: str = "text",
@@ -165,7 +172,7 @@ def encode_bpe(docs: DataFrame, rank_file: str, pattern: str, text: str = "text"
             ids = []
             for t in b.column(b.num_columns - 1):
                 t = t.as_py()
-                ids.append(b"".join(map(get, _chunks_of(t))) if t else b"")
+                ids.append(b"".join(map(get, chunk_keys(t))) if t else b"")
                 if len(chunks) > MEMO_WORDS:
                     chunks.clear()
                 if len(words) > MEMO_WORDS:

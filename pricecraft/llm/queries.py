@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, langid, packing, pfor, ppm
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  with_ids=False)
+
+
+@register
+def op8_pfor_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = pfor.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pfor.read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_held_out(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.held_out_scores(table(spark, sf_dir, "documents"))
