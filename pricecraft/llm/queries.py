@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, pfor, ppm
+from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -37,7 +37,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_pfor_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = pfor.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return pfor.read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return pfor.read_token_files(files, {"ids_crc32": F.crc32("ids")})
 
 
 @register
@@ -48,3 +48,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
