@@ -142,43 +142,48 @@ def learn_prototypes(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
     return dict(sorted(out.items()))
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM) -> DataFrame:
-    """(doc_id, lang_pred string, score double) of every row of ``docs``.
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM, carry: tuple[str, ...] = ("doc_id",),
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The ``carry`` columns of every row of ``docs`` with the predicted
+    language (string) and its score (double), called ``names``.
 
     score is the cosine with the language's prototype, 0 where negative.
     Null texts, texts without a letter, and all texts if nothing was learned,
     get ``und`` and score 0; of equal cosines the first name wins; repeated
-    rows stay repeated; other columns are left behind.
+    rows stay repeated; columns that are not carried are left behind.
     """
-    names = sorted(prototypes)
-    unit = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names], np.float32).reshape(len(names), dim)
+    langs = sorted(prototypes)
+    unit = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in langs], np.float32).reshape(len(langs), dim)
+    sel = docs.select(*carry, F.col("text").alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sel.schema.fields[:-1])
 
     def run(batches):
         b_ = bundler(dim)
         for batch in batches:
-            for part in text_chunks(batch, 2 << 20, SLICE_DOCS):
-                tris, index, ptr = b_.trigrams(part.column(1).to_pylist())
+            for part in text_chunks(batch, 2 << 20, SLICE_DOCS, "_text"):
+                tris, index, ptr = b_.trigrams(part.column(part.num_columns - 1).to_pylist())
                 n = part.num_rows
                 empty = ptr[1:] == ptr[:-1]
-                if names:
+                if langs:
                     v = b_.bundles(tris, index, np.repeat(np.arange(n), np.diff(ptr)), n)
                     cos = v @ unit.T / np.maximum(np.linalg.norm(v, axis=1), 1e-30)[:, None]
                     best = cos.argmax(1)
-                    pred = [UND if e else names[j] for e, j in zip(empty.tolist(), best.tolist())]
+                    pred = [UND if e else langs[j] for e, j in zip(empty.tolist(), best.tolist())]
                     score = np.where(empty, 0.0, np.clip(cos[np.arange(n), best], 0.0, 1.0))
                 else:
                     pred, score = [UND] * n, np.zeros(n)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pred, pa.string()), pa.array(score.astype(np.float64))],
-                                                 names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score.astype(np.float64))],
+                                                 names=[*part.schema.names[:-1], *names])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return sel.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def identify_held_out(docs: DataFrame, dim: int = DIM) -> DataFrame:
     """Learn from the rows whose crc32(doc_id) mod 4 is not 2 and predict all:
     doc_id, held_out, lang_pred, score.  Rows without a doc_id are not held out."""
     held = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
-    return identify(docs, learn_prototypes(docs.where(~held), dim), dim).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return identify(docs, learn_prototypes(docs.where(~held), dim), dim) \
+        .select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
 
 
 __all__ = ["learn_prototypes", "identify", "identify_held_out", "letter_vector", "Bundler"]

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, toxicity
+from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, rules, sites, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,13 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.held_out_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -1,9 +1,10 @@
 """Toxicity by compression distance (operator 7).
 
 Two zstandard dictionaries are trained, on ordinary and on toxic text.  They
-share the ordinary segments; the toxic one also holds segments trained on the
-words of toxic texts that ordinary texts of the sample lack, the other as many
-more ordinary ones.  A text is cut into windows of ``WINDOW`` words; how much
+share the ordinary segments; the toxic one also holds the words that
+significantly many toxic texts of the sample have and its ordinary texts lack,
+the most frequent last (nearest, so cheapest to refer to), the other as many
+more ordinary segments.  A text is cut into windows of ``WINDOW`` words; how much
 shorter a window gets with the toxic dictionary is its gain.  The gains above
 thresholds, their rate and the greatest one are calibrated to a probability
 by a logistic fit on training rows that the dictionaries have not seen.
@@ -27,8 +28,9 @@ from .common import crc_mod, save, text_chunks, worker_store
 WINDOW = 8
 LEVEL = 9
 BASE_BYTES = 8192
-TAIL_BYTES = 2048
+TAIL_BYTES = 1024
 THRESHOLD = 0.3
+MIN_TEXTS, MIN_SHARE = 4, 0.005     # a toxic word occurs in so many toxic texts, none of them by chance
 GAINS = (2, 3, 4)
 
 
@@ -40,7 +42,7 @@ class Bounds:
     ordinary_texts: int = 16_000
     calibration_texts: int = 16_000
     windows: int = 100_000
-    words: int = 2_000
+    words: int = 400
 
 
 @dataclass
@@ -122,9 +124,12 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary: Column, calibration: Col
                   .join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL"), "toxicity-sample")       # bounded rows
     train_rows = sample.where("use = 'd'")
 
-    words = train_rows.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"))).alias("w")).where("w <> ''")
-    strong = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")).where("t >= 2 AND o = 0") \
-        .orderBy(F.desc("t"), "w").limit(bounds.words).collect()
+    ascii_lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = train_rows.select("doc_id", "toxic", F.explode(F.split(ascii_lower, r"[\x20\x09-\x0D]+")).alias("w")) \
+        .select("doc_id", "toxic", F.regexp_replace("w", r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "").alias("w")).where("length(w) BETWEEN 1 AND 100").distinct()
+    n_toxic = train_rows.where("toxic = 1").count()
+    strong = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")) \
+        .where((F.col("t") >= max(MIN_TEXTS, MIN_SHARE * n_toxic)) & (F.col("o") == 0)).orderBy(F.desc("t"), "w").limit(bounds.words).collect()
 
     def cut(batches):
         for batch in batches:
@@ -134,13 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary: Column, calibration: Col
     cuts = train_rows.where("toxic = 0").select("text").mapInArrow(cut, "w binary").where(F.octet_length("w") < 4096)
     ordinary = [bytes(r[0]) for r in cuts.orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()]
 
-    rng = np.random.default_rng(7)
-    parts = [b" " + r["w"].encode() + b" " for r in strong if len(r["w"]) < 200 for _ in range(min(int(r["t"]), 50))]
-    parts = [parts[i] for i in rng.permutation(len(parts)).tolist()]
-    special = [b"".join(parts[i:i + 8]) for i in range(0, len(parts), 8)]
+    special = b" " + b" ".join(r["w"].encode() for r in reversed(strong)) + b" "
     half = len(ordinary) // 2
-    base = train(ordinary[:half], BASE_BYTES)
-    model = Model(ordinary=train(ordinary[half:], TAIL_BYTES) + base, toxic=train(special, TAIL_BYTES) + base)
+    base, plain = train(ordinary[:half], BASE_BYTES)[-BASE_BYTES:], train(ordinary[half:], TAIL_BYTES)
+    tail = special[-TAIL_BYTES:]
+    model = Model(ordinary=plain[-len(tail):] + base, toxic=tail + base)
 
     cal = _gain_features(sample.where("use = 'c'"), model.ordinary, model.toxic).join(chosen.where("use = 'c'"), "doc_id") \
         .select("doc_id", "f", "toxic").orderBy("doc_id").collect()
