@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words are runs of other characters than space and 0x09-0x0D.
+SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOL = r"[#*$%&|<>]"
@@ -26,55 +27,45 @@ def count_chars(text: Column, pattern: str) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
 
 
-def duplicate_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
-    return bind(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(HAS_WORD)), lambda a: (F.size(a) - F.size(F.array_distinct(a))).cast("long"))
+def duplicate_lines(lines: Column) -> Column:
+    """Lines that equal an earlier one, of lines with a word."""
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def repeated_window_words(words: Column) -> Column:
-    """Words covered by 3-word windows that the text has twice or more.
+def window_hashes(words: Column) -> Column:
+    """64-bit hashes of the 3-word windows, in order."""
+    third = F.slice(words, F.lit(3), F.greatest(F.size(words) - 2, F.lit(0)))
+    return F.transform(third, lambda w, i: F.xxhash64(F.get(words, i), F.get(words, i + 1), w))
 
-    Windows are compared by 64-bit hashes.  Sorting them finds those that
-    repeat.  Few of them are looked up one by one; many by a second sort,
-    of (hash, place), so the work is n log n for any text."""
-    # no third word behind the last two: null there, and no window
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
 
-    def windows(h: Column) -> Column:
-        pairs = F.zip_with(h, F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-        n = F.greatest(F.size(h) - 2, F.lit(0))
-        return F.zip_with(F.slice(pairs, 1, n), F.slice(h, 3, n), lambda a, b: F.xxhash64(a, b))
+def repeated_values(values: Column) -> Column:
+    """Values that a sorted array holds twice or more."""
+    return F.array_distinct(F.filter(values, lambda x, i: x == F.get(values, i - 1)))
 
-    def repeats(w: Column) -> Column:
-        def adjacent(s: Column) -> Column:
-            return F.array_distinct(F.array_compact(F.zip_with(s, F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0))), lambda a, b: F.when(a == b, a))))
-        return bind(F.sort_array(w), adjacent)
 
-    def covered(places: Column) -> Column:
-        """Distinct words of the windows at these sorted places."""
-        return bind(places, lambda p: F.aggregate(
-            F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: F.when(b.isNull(), F.lit(3)).otherwise(F.least(b - a, F.lit(3)))),
-            F.lit(0).cast("long"), lambda s, x: s + x))
+def places_of(windows: Column, repeated: Column) -> Column:
+    """Places (from 0, rising) of the windows that are repeated.  Few repeated
+    windows are looked up one by one; many by a sort of (hash, place), so the
+    work is n log n for any text."""
+    few = F.array_compact(F.transform(windows, lambda x, i: F.when(F.array_contains(repeated, x), i)))
 
-    def few(w: Column, r: Column) -> Column:
-        return covered(F.array_compact(F.transform(w, lambda x, i: F.when(F.array_contains(r, x), i))))
+    def many(s: Column) -> Column:
+        n = F.size(s)
+        same = F.transform(s, lambda a, i: (a["h"] == F.get(s, i - 1)["h"]) | (a["h"] == F.get(s, F.when(i + 1 < n, i + 1).otherwise(-1))["h"]))
+        return F.sort_array(F.array_compact(F.zip_with(s, same, lambda a, f: F.when(F.coalesce(f, F.lit(False)), a["i"]))))
 
-    def many(w: Column) -> Column:
-        def places(s: Column) -> Column:
-            m = F.size(s)
-            after = F.zip_with(s, F.slice(s, 2, m - 1), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
-            flags = F.zip_with(after, F.concat(F.array(F.lit(False)), F.slice(after, 1, m - 1)), lambda a, b: a | b)
-            return F.sort_array(F.array_compact(F.zip_with(s, flags, lambda a, f: F.when(f, a["i"]))))
-        return bind(F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), lambda s: covered(places(s)))
+    by_sort = bind(F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), many)
+    return F.when(F.size(repeated) == 0, F.array().cast("array<int>")).when(F.size(repeated) <= SMALL_SET, few).otherwise(by_sort)
 
-    def count(w: Column) -> Column:
-        return bind(repeats(w), lambda r: F.when(F.size(r) == 0, F.lit(0).cast("long"))
-                    .when(F.size(r) <= SMALL_SET, few(w, r)).otherwise(many(w)))
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(bind(hashes, lambda h: bind(windows(h), count)))
+def covered_words(places: Column) -> Column:
+    """Distinct words of the 3-word windows at these rising places."""
+    gaps = F.transform(places, lambda p, i: F.least(p - F.coalesce(F.get(places, i - 1), p - 3), F.lit(3)))
+    return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
 
 
 def text_statistics(docs: DataFrame, windows: bool = True, keep: dict[str, Column] | None = None) -> DataFrame:
@@ -82,26 +73,36 @@ def text_statistics(docs: DataFrame, windows: bool = True, keep: dict[str, Colum
     word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words (null without
     ``windows``), n_upper, n_digits, n_bangs, n_distinct_words (all long), text_key
     (a hash of the text), and the columns ``keep`` of the document.
+
+    n_repeat_words counts the words covered by 3-word windows that the text has
+    twice or more; windows are compared by 64-bit hashes.
     """
     keep = keep or {}
-    t = F.coalesce("text", F.lit(""))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("t"), *(c.alias(n) for n, c in keep.items()))
-    repeats = repeated_window_words if windows else lambda w: F.lit(None).cast("long")
-    return base.select(
+    t = F.col("t")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"), *(c.alias(n) for n, c in keep.items()))
+    counted = base.select(
         "doc_id", *keep,
         F.length("t").cast("long").alias("n_chars"),
         F.xxhash64("t").alias("text_key"),
-        count_chars(F.col("t"), SYMBOL).alias("n_symbols"),
-        count_chars(F.col("t"), UPPER).alias("n_upper"),
-        count_chars(F.col("t"), DIGIT).alias("n_digits"),
-        count_chars(F.col("t"), BANG).alias("n_bangs"),
-        duplicate_lines(F.col("t")).alias("n_dup_lines"),
-        (count_chars(F.col("t"), "\n") + 1).alias("n_lines"),
-        bind(words_of(F.col("t")), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.size(F.array_distinct(w)).cast("long").alias("d"),
-                                                      F.length(F.array_join(w, "")).cast("long").alias("c"),
-                                                      repeats(w).alias("r"))).alias("w")) \
-        .select("*", F.col("w.n").alias("n_words"), F.col("w.d").alias("n_distinct_words"), F.col("w.r").alias("n_repeat_words"),
-                F.col("w.c").alias("word_chars")).drop("w")
+        count_chars(t, SYMBOL).alias("n_symbols"),
+        count_chars(t, UPPER).alias("n_upper"),
+        count_chars(t, DIGIT).alias("n_digits"),
+        count_chars(t, BANG).alias("n_bangs"),
+        F.split(t, "\n", -1).alias("lines"),
+        words_of(t).alias("words"))
+    numbers = ["n_chars", "text_key", "n_symbols", "n_upper", "n_digits", "n_bangs"]
+    counted = counted.withColumn("own", F.filter("lines", lambda x: x.rlike(HAS_WORD))).select(
+        "doc_id", *keep, *numbers, "words", duplicate_lines(F.col("own")).alias("n_dup_lines"), F.size("lines").cast("long").alias("n_lines"))
+    numbers += ["n_dup_lines", "n_lines", "n_words", "n_distinct_words", "word_chars"]
+    w = F.col("words")
+    measured = counted.select("*", F.size(w).cast("long").alias("n_words"), F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words"),
+                              F.length(F.array_join(w, "")).cast("long").alias("word_chars"))
+    if not windows:
+        return measured.select("doc_id", *keep, *numbers, F.lit(None).cast("long").alias("n_repeat_words"))
+    d = measured.select("doc_id", *keep, *numbers, window_hashes(w).alias("windows"))
+    d = d.withColumn("sorted", F.sort_array("windows")).withColumn("repeated", repeated_values(F.col("sorted")))
+    d = d.withColumn("places", places_of(F.col("windows"), F.col("repeated")))
+    return d.select("doc_id", *keep, *numbers, covered_words(F.col("places")).alias("n_repeat_words"))
 
 
 def rates(s: DataFrame) -> dict[str, Column]:
