@@ -44,7 +44,9 @@ def calendar_quarter(month) -> Column:
 
 
 def calendar_quarter_clipped(month) -> Column:
-    return F.greatest(F.lit(1), F.least(F.lit(4), calendar_quarter(month)))
+    """Quarter moved into 1..4; a NULL month stays NULL."""
+    q = calendar_quarter(month)
+    return F.when(q.isNotNull(), F.greatest(F.lit(1), F.least(F.lit(4), q)))
 
 
 def quarter_season(quarter) -> Column:
@@ -75,8 +77,9 @@ def parse_date_lenient(c, default: str = DEFAULT_DATE) -> Column:
 
 
 def age_days(later, earlier) -> Column:
-    """Day difference, negatives clipped to 0."""
-    return F.greatest(F.datediff(col_of(later), col_of(earlier)), F.lit(0))
+    """Day difference, negatives clipped to 0; NULL if a date is NULL."""
+    d = F.datediff(col_of(later), col_of(earlier))
+    return F.when(d.isNotNull(), F.greatest(d, F.lit(0)))
 
 
 def age_years(days) -> Column:

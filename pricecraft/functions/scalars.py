@@ -73,14 +73,27 @@ def flag(cond: Column) -> Column:
 
 
 def clip_nonneg_int(c) -> Column:
-    """max(p, 0) truncated toward zero to a long."""
-    return F.greatest(col_of(c), F.lit(0.0)).cast("long")
+    """max(p, 0) truncated toward zero to a long; NULL stays NULL."""
+    x = col_of(c)
+    return F.when(x.isNotNull(), F.greatest(x, F.lit(0.0)).cast("long"))
 
 
 def clip(c, lo: Column | float, hi: Column | float) -> Column:
+    """c moved into [lo, hi]; NULL stays NULL."""
     lo = lo if isinstance(lo, Column) else F.lit(lo)
     hi = hi if isinstance(hi, Column) else F.lit(hi)
-    return F.greatest(lo, F.least(hi, col_of(c)))
+    x = col_of(c)
+    return F.when(x.isNotNull(), F.greatest(lo, F.least(hi, x)))
+
+
+def md5_order(c) -> Column:
+    """Repeatable pseudo-random order: first 32 bits of md5(value) as a long."""
+    return F.conv(F.substring(F.md5(col_of(c).cast("string")), 1, 8), 16, 10).cast("long")
+
+
+def hash_pct(c) -> Column:
+    """Repeatable 0..99 bucket of a value."""
+    return (md5_order(c) % 100).cast("int")
 
 
 def concat_key(*cols, sep: str = "_", null_text: str = "nan") -> Column:

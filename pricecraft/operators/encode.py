@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.binning import AGE_LABELS, KM_LABELS, POWER_LABELS, REG_YEAR_LABELS, TIER_LABELS
 from ..functions.dates import QUARTER_SEASONS
-from ..functions.scalars import MISSING_LABEL, UNKNOWN_LABEL
+from ..functions.scalars import MISSING_LABEL, UNKNOWN_LABEL, md5_order
 from .groupstats import global_mean
 from .joins import ScalarRow, checked_broadcast, left_join_params
-from .prefix import dense_codes, prefix_sums
+from .prefix import dense_codes, hash_segment, prefix_sums, value_segment
 from .quantiles import quantile_columns
 
 # ---------------------------------------------------------------- target mean
@@ -163,7 +163,7 @@ def fit_first_seen_codes(train: DataFrame, col: str, order_col: str) -> DataFram
     """Codes in order of first appearance (by ``order_col``)."""
     first = (train.where(F.col(col).isNotNull()).groupBy(col)
                   .agg(F.min(order_col).alias("_first")))
-    ranked = prefix_sums(first.withColumn("_one", F.lit(1).cast("long")), [], ["_first", col], ["_one"])
+    ranked = prefix_sums(first.withColumn("_one", F.lit(1).cast("long")), [], ["_first", col], ["_one"], value_segment(first, "_first", 64))
     return ranked.select(col, F.col("_one_before").cast("int").alias(f"{col}_code"))
 
 
@@ -174,11 +174,6 @@ def cast_category_str(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------ ordered target statistics
 
 
-def md5_order(c: Column) -> Column:
-    """Repeatable pseudo-random order: first 32 bits of md5(value) as a long."""
-    return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("long")
-
-
 def ordered_target_stats(df: DataFrame, col: str, target: str, key: str,
                          prior: Column | None = None, prior_weight: float = 1.0,
                          out: str | None = None, missing: str = MISSING_LABEL) -> DataFrame:
@@ -197,7 +192,7 @@ def ordered_target_stats(df: DataFrame, col: str, target: str, key: str,
         "_ots_n": F.when(F.col(target).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long"),
         "_ots_y": F.coalesce(F.col(target).cast("double"), F.lit(0.0)),
     })
-    ps = prefix_sums(base, ["_ots_c"], ["_ots_h", key], ["_ots_n", "_ots_y"])
+    ps = prefix_sums(base, ["_ots_c"], ["_ots_h", key], ["_ots_n", "_ots_y"], hash_segment(F.col("_ots_h")))
     a = F.lit(float(prior_weight))
     enc = (F.col("_ots_y_before") + a * prior) / (F.col("_ots_n_before") + a)
     return ps.withColumn(out, enc).drop("_ots_c", "_ots_h", "_ots_n", "_ots_y",
@@ -214,9 +209,11 @@ def fit_medians(train: DataFrame, cols: Sequence[str], **qkw) -> DataFrame:
 
 
 def apply_fill_row(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL -> value from a one-row fill table (scalar subqueries, no join)."""
+    """NULL -> value from a one-row fill table (scalar subqueries, no join).
+
+    The filled columns are doubles: the median of integers need not be one."""
     s = ScalarRow(fills)
-    return df.withColumns({c: F.coalesce(F.col(c), s[c].cast(df.schema[c].dataType)) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), s[c].cast("double")) for c in cols})
 
 
 def impute_median(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None, **qkw) -> DataFrame:

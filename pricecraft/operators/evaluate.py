@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip_nonneg_int
+from ..functions.scalars import clip_nonneg_int, hash_pct
 
 # MAE is estimated as 0.55 x RMSE in the reference's curves.
 MAE_FROM_RMSE = 0.55
@@ -18,8 +18,7 @@ MAE_FROM_RMSE = 0.55
 
 def split_bucket(key) -> F.Column:
     """0..99 from the first 32 bits of md5(key): same on every engine and run."""
-    k = F.col(key) if isinstance(key, str) else key
-    return (F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("long") % 100).cast("int")
+    return hash_pct(F.col(key) if isinstance(key, str) else key)
 
 
 def holdout_split(df: DataFrame, key: str, valid_pct: int = 20, col: str = "split") -> DataFrame:
@@ -37,7 +36,11 @@ def split_frames(df: DataFrame, key: str, valid_pct: int = 20) -> tuple[DataFram
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        group: Sequence[str] = ()) -> DataFrame:
-    """MAE, MSE, RMSE, R² (optionally per group) in one aggregation."""
+    """MAE, MSE, RMSE, R² (optionally per group) in one aggregation.
+
+    Only complete pairs count: rows without a label or a prediction are left
+    out of every figure, ``n`` included."""
+    df = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     y = F.col(label).cast("double")
     e = F.col(prediction).cast("double") - y
     n = F.count(F.lit(1))

@@ -1,12 +1,11 @@
 """Joining fitted parameter tables back onto the big table.
 
 Fitted tables (one row per key) are small only when the key has few
-values.  ``checked_broadcast`` materialises the table once with a reliable
-checkpoint into the shared checkpoint folder (it is the fitted model: later
-joins read it instead of re-running the fit, and a lost executor does not
-lose it), counts it and adds the broadcast hint only under a row limit.
-Beyond the limit the join stays a shuffle join, where adaptive execution
-splits skewed keys.
+values.  ``checked_broadcast`` fetches at most a limited number of rows, in
+one job.  If that is the whole table and its bytes are under a limit too, the
+table becomes a local one: its size is known to the planner, it is broadcast,
+and later joins do not run the fit again.  Beyond the limits the fit stays
+lazy and the join a shuffle join, where adaptive execution splits skewed keys.
 """
 
 from __future__ import annotations
@@ -16,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for a broadcast parameter table (one row per key, a few
-# numeric columns: well under 100 MB at this count).
-BROADCAST_MAX_ROWS = 1_000_000
+# Upper bounds for a broadcast parameter table.
+BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 _CONF_KEY = "pricecraft.broadcast.maxRows"
 
 
@@ -28,18 +27,12 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def checked_broadcast(params: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Checkpoint ``params``, count it, and hint a broadcast only when it is small.
-
-    A checkpoint (not ``persist``) because fitted plans may carry scalar
-    subqueries, which defeat the cache lookup and would re-run the fit on
-    every use; the checkpointed plan is a plain scan of written data.
-    """
-    from ..session import ensure_checkpoint_dir
+    """``params`` as a broadcast local table if it is small, else as it is."""
     limit = max_rows if max_rows is not None else max_broadcast_rows(params)
-    ensure_checkpoint_dir(params.sparkSession)
-    params = params.checkpoint(eager=True)
-    n = params.count()
-    return F.broadcast(params) if n <= limit else params
+    got = params.limit(limit + 1).toArrow()
+    if got.num_rows > limit or got.nbytes > BROADCAST_MAX_BYTES:
+        return params
+    return F.broadcast(params.sparkSession.createDataFrame(got, params.schema))
 
 
 def left_join_params(df: DataFrame, params: DataFrame, keys: Sequence[str] | str,

@@ -24,19 +24,9 @@ def qcut_tier(stats: DataFrame, col: str, out: str, labels: Sequence[str] = TIER
     """
     k = len(labels)
     probs = [i / k for i in range(1, k)]
-    # the rows are fitted statistics (one per key): write them once and count
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(stats.sparkSession)
-    r = stats.withColumn("_qt_x", F.round(F.col(col), digits)).checkpoint(eager=True)
-    from .quantiles import small_rows
-    if r.count() <= small_rows(stats):
-        # proven small: Spark's exact percentile in one task is bounded
-        wide = r.agg(F.percentile("_qt_x", F.array(*[F.lit(p) for p in probs])).alias("_e")).select(
-            *[F.col("_e")[i - 1].alias(f"e{i}") for i in range(1, k)])
-    else:
-        q = exact_quantiles(r, "_qt_x", probs, **qkw)
-        wide = q.agg(*[F.max(F.when(F.col("p") == i / k, F.col("q"))).alias(f"e{i}") for i in range(1, k)])
-    s = ScalarRow(wide)
+    r = stats.withColumn("_qt_x", F.round(F.col(col), digits))
+    q = exact_quantiles(r, "_qt_x", probs, **qkw)
+    s = ScalarRow(q.agg(*[F.max(F.when(F.col("p") == i / k, F.col("q"))).alias(f"e{i}") for i in range(1, k)]))
     edges = [s[f"e{i}"] for i in range(1, k)]
     return r.withColumn(out, cut_by_columns(F.col("_qt_x"), edges, labels)).drop("_qt_x")
 

@@ -1,178 +1,74 @@
-"""Distributed exclusive prefix sums within groups, safe under key skew.
+"""Exclusive prefix sums and dense codes within groups, safe under key skew.
 
 ``SUM(m) OVER (PARTITION BY k ORDER BY o ROWS UNBOUNDED PRECEDING AND 1 PRECEDING)``
-sends every row of a key to one task; a key with a third of the data would
-stall one executor.  ``prefix_sums`` gives the same numbers with bounded
-tasks:
-
-* ``repartitionByRange(k, o)`` + sort: the sampled range partitioner cuts a
-  hot key into many partitions (segments);
-* one vectorised ``mapInPandas`` pass per partition computes the local prefix
-  and emits one total row per segment (a segment is named by its first order
-  value, so no partition id is needed);
-* a window over the segment table (about ``#keys + #partitions`` rows) turns
-  totals into offsets, joined back on (key, segment).
-
-Requirements: partition keys are non-NULL and the order columns are unique
-within a key (ties need a tie-breaker column).
+sends every row of a key to one task.  Here a key is cut into segments by a
+column that never falls along the order and depends on the row alone: the high
+bits of a hash order, or the place of a value among fixed bounds.  Segment
+totals are partial aggregates, a window over them (keys x segments rows) gives
+each segment's offset, and the running sum inside a segment is a window
+partitioned by key and segment.  Everything is JVM-side, and no step relies on
+two reads of a shuffle being cut alike.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-KIND = "_px_kind"
-# Target rows per range partition of the prefix pass.
-ROWS_PER_RANGE = 1_000_000
-
-
-def auto_partitions(spark, n_rows: int) -> int:
-    """Range partitions for ``n_rows``: at least one per core, about a million rows each.
-
-    (A fixed count is required: adaptive coalescing could cut the two
-    readers of the range shuffle differently.)
-    """
-    return max(int(spark.sparkContext.defaultParallelism), -(-int(n_rows) // ROWS_PER_RANGE), 1)
-
 
-def _seg(i: int) -> str:
-    return f"_px_seg{i}"
+# Segments of a hash order (a power of two).
+SEGMENTS = 1024
+# Sample of distinct values from which the bounds of a value order are taken.
+BOUND_SAMPLE = 16_384
 
 
-def _local_prefix(cols: list[str], keys: list[str], orders: list[str], measures: list[str]):
-    segs = [_seg(i) for i in range(len(orders))]
-    bef = [f"{m}_before" for m in measures]
-    out_cols = cols + bef + segs + [KIND]
+def hash_segment(order: Column, bits: int = 32, segments: int = SEGMENTS) -> Column:
+    """The high bits of a ``bits``-bit non-negative number: rises with it."""
+    return F.shiftright(order, bits - (segments - 1).bit_length()).cast("int")
 
-    def run(batches):
-        pend = None  # (key tuple, seg tuple, totals array)
 
-        def total_frame(rows):
-            # rows: list of (key tuple, seg tuple, totals)
-            d = {c: [None] * len(rows) for c in cols}
-            for i, k in enumerate(keys):
-                d[k] = [r[0][i] for r in rows]
-            for j, m in enumerate(measures):
-                d[m] = [r[2][j] for r in rows]
-            for i, s in enumerate(segs):
-                d[s] = [r[1][i] for r in rows]
-            for b in bef:
-                d[b] = [None] * len(rows)
-            d[KIND] = [1] * len(rows)
-            return pd.DataFrame(d)[out_cols]
+def value_segment(df: DataFrame, col: str, segments: int = SEGMENTS) -> Column:
+    """The place of ``col`` among bounds taken from a bounded sample of the
+    rows (first by hash of the value); any bounds give right results, the
+    sample only evens out the segments."""
+    sample = df.select(col).where(F.col(col).isNotNull()).orderBy(F.xxhash64(col), col).limit(BOUND_SAMPLE).distinct().orderBy(col)
+    values = [r[0] for r in sample.collect()]
+    step = max(1, len(values) // segments)
+    bounds = values[step::step]
+    if not bounds:
+        return F.lit(0)
+    # binary search over the literal bounds, as nested conditions
+    c = F.col(col)
 
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            karr = [pdf[k].to_numpy() for k in keys]
-            oarr = [pdf[o].to_numpy() for o in orders]
-            chg = np.zeros(n, dtype=bool)
-            chg[0] = True
-            for a in karr:
-                chg[1:] |= a[1:] != a[:-1]
-            starts = np.flatnonzero(chg)
-            gid = np.cumsum(chg) - 1
-            mvals = [pdf[m].fillna(0).to_numpy() for m in measures]
-            lbefore = [pd.Series(v).groupby(gid).cumsum().to_numpy() - v for v in mvals]
-            gtot = [np.add.reduceat(v, starts) for v in mvals]
-            segv = [a[starts] for a in oarr]          # first order values per run
-            first_key = tuple(a[0] for a in karr)
-            closed = []
-            cont = pend is not None and pend[0] == first_key
-            if cont:
-                m0 = gid == 0
-                for j in range(len(measures)):
-                    lbefore[j] = lbefore[j].astype(np.result_type(lbefore[j], pend[2][j]))
-                    lbefore[j][m0] += pend[2][j]
-                    gtot[j] = gtot[j].astype(lbefore[j].dtype)
-                    gtot[j][0] += pend[2][j]
-                for i in range(len(orders)):
-                    segv[i] = segv[i].astype(object)
-                    segv[i][0] = pend[1][i]
-            elif pend is not None:
-                closed.append(pend)
-            body = pdf[cols].copy()
-            for j, b in enumerate(bef):
-                body[b] = lbefore[j]
-            for i, s in enumerate(segs):
-                body[s] = np.asarray(segv[i], dtype=object)[gid] if cont else segv[i][gid]
-            body[KIND] = 0
-            g = len(starts)
-            for r in range(g - 1):
-                closed.append((tuple(a[starts[r]] for a in karr), tuple(s[r] for s in segv),
-                               [t[r] for t in gtot]))
-            pend = (tuple(a[starts[-1]] for a in karr), tuple(s[g - 1] for s in segv),
-                    [t[g - 1] for t in gtot])
-            yield body[out_cols]
-            if closed:
-                yield total_frame(closed)
-        if pend is not None:
-            yield total_frame([pend])
+    def place(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c < F.lit(bounds[mid]), place(lo, mid)).otherwise(place(mid + 1, hi))
+    return place(0, len(bounds)) if len(bounds) <= 256 else F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= c))
 
-    return run
 
-
-def prefix_sums(df: DataFrame, keys: Sequence[str], orders: Sequence[str],
-                measures: Sequence[str], num_partitions: int | None = None,
-                with_totals: bool = False, n_rows: int | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, keys: Sequence[str], orders: Sequence[str], measures: Sequence[str], segment: Column) -> DataFrame:
     """Add ``<m>_before`` = sum of ``m`` over earlier rows of the same key.
 
-    With ``with_totals`` also ``<m>_total`` = sum over the whole key.  The
-    range-partition count comes from ``num_partitions``, else from the row
-    count (``n_rows`` or one counting pass).
-    """
-    keys, orders, measures = list(keys), list(orders), list(measures)
-    spark = df.sparkSession
-    nparts = num_partitions or auto_partitions(spark, n_rows if n_rows is not None else df.count())
-    cols = df.columns
-    fields = {f.name: f for f in df.schema.fields}
-    ranged = df.repartitionByRange(nparts, *keys, *orders).sortWithinPartitions(*keys, *orders)
-    schema = T.StructType(
-        [T.StructField(c, fields[c].dataType, True) for c in cols]
-        + [T.StructField(f"{m}_before", fields[m].dataType, True) for m in measures]
-        + [T.StructField(_seg(i), fields[o].dataType, True) for i, o in enumerate(orders)]
-        + [T.StructField(KIND, T.IntegerType(), True)])
-    marked = ranged.mapInPandas(_local_prefix(cols, keys, orders, measures), schema)
-    segs = [_seg(i) for i in range(len(orders))]
-
-    tot = marked.where(F.col(KIND) == 1).select(*keys, *segs, *measures)
-    w_all = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    w_run = w_all.orderBy(*segs).rowsBetween(Window.unboundedPreceding, -1)
-    offs = [F.coalesce(F.sum(m).over(w_run), F.lit(0).cast(fields[m].dataType)).alias(f"_px_off_{m}")
-            for m in measures]
-    tots = [F.sum(m).over(w_all).alias(f"{m}_total") for m in measures] if with_totals else []
-    seg_tab = tot.select(*keys, *segs, *offs, *tots)
-
-    rows = marked.where(F.col(KIND) == 0).drop(KIND)
-    j = rows.join(seg_tab, keys + segs)
-    out = [F.col(c) for c in cols] + [
-        (F.col(f"_px_off_{m}") + F.col(f"{m}_before")).alias(f"{m}_before") for m in measures]
-    if with_totals:
-        out += [F.col(f"{m}_total") for m in measures]
-    return j.select(*out)
-
-
-def dense_codes(df: DataFrame, value_col: str, keys: Sequence[str] = (),
-                code_col: str = "code", num_partitions: int | None = None) -> DataFrame:
-    """Distinct non-NULL values of ``value_col`` (per key) with 0-based sorted codes.
-
-    The skew-safe equivalent of ``dense_rank() - 1`` over distinct values.
+    ``segment`` must not fall along ``orders``, which must be unique within a
+    key (ties need a tie-breaker column); keys must not be NULL.
     """
-    from .quantiles import _materialize, small_rows
+    keys, measures, cols = list(keys), list(measures), df.columns
+    d = df.withColumn("_px_seg", segment)
+    totals = d.groupBy(*keys, "_px_seg").agg(*(F.sum(m).alias(f"_px_{m}") for m in measures))
+    earlier = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_px_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_px_seg", *(F.coalesce(F.sum(f"_px_{m}").over(earlier), F.lit(0)).alias(f"_px_off_{m}") for m in measures))
+    inside = Window.partitionBy(*keys, "_px_seg").orderBy(*orders).rowsBetween(Window.unboundedPreceding, -1)
+    j = d.join(offsets, [*keys, "_px_seg"])
+    return j.select(*cols, *((F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"_px_off_{m}")).alias(f"{m}_before") for m in measures))
+
+
+def dense_codes(df: DataFrame, value_col: str, keys: Sequence[str] = (), code_col: str = "code") -> DataFrame:
+    """Distinct non-NULL values of ``value_col`` (per key) with 0-based sorted
+    codes: ``dense_rank() - 1`` over distinct values, in bounded tasks."""
     keys = list(keys)
-    d = df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct()
-    d, n = _materialize(d)
-    if n <= small_rows(df):
-        # proven small: a ranking window over at most small_rows rows is bounded
-        w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(value_col)
-        return d.select(*keys, value_col, (F.dense_rank().over(w) - 1).cast("int").alias(code_col))
-    d = d.withColumn("_one", F.lit(1).cast("long"))
-    return prefix_sums(d, keys, [value_col], ["_one"], num_partitions, n_rows=n).select(
-        *keys, value_col, F.col("_one_before").cast("int").alias(code_col))
+    d = df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
+    return prefix_sums(d, keys, [value_col], ["_one"], value_segment(d, value_col, 64)) \
+        .select(*keys, value_col, F.col("_one_before").cast("int").alias(code_col))

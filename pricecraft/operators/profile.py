@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,9 +120,11 @@ def target_transform_summary(df: DataFrame, col: str, **qkw) -> DataFrame:
 
 def n_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct non-NULL values per column."""
-    one = df.agg(*[F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-    return _stack(one, [F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("n_distinct"))
-                        for i, c in enumerate(cols)])
+    # values as text in one long column: a partial distinct, then one count
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("x")) for c in cols])).alias("_s")) \
+        .select("_s.*").where("x IS NOT NULL").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(long, "column", "left").select("column", F.coalesce("n", F.lit(0)).alias("n_distinct"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -159,7 +163,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def histogram_many(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
-    """Histogram of several columns at once (long form: column, bin, count)."""
+    """Histogram of several columns at once (long form: column, bin, lo, hi,
+    count), empty bins and edges included; a column without values has none."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
     )).alias("_s")).select("_s.*").where(F.col("x").isNotNull())
@@ -168,7 +173,12 @@ def histogram_many(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
     b = (long.join(F.broadcast(rng), "column")
              .select("column", width_bucket_closed(F.col("x"), F.col("mn"),
                                                    (F.col("mx") - F.col("mn")) / bins, bins).alias("bin")))
-    return b.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    counts = b.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    width = (F.col("mx") - F.col("mn")) / bins
+    grid = rng.select("column", "mn", width.alias("_w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return grid.join(counts, ["column", "bin"], "left").select(
+        "column", "bin", (F.col("mn") + F.col("bin") * F.col("_w")).alias("lo"),
+        (F.col("mn") + (F.col("bin") + 1) * F.col("_w")).alias("hi"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def density_grid(df: DataFrame, col: str, grid: int = 100, fine_bins: int = 512) -> DataFrame:
@@ -252,15 +262,42 @@ def correlation_with_target(df: DataFrame, cols: Sequence[str], target: str,
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (long form col_a, col_b, corr), pairwise complete, one pass."""
+    """All pairs (long form col_a, col_b, corr), pairwise complete, one pass.
+
+    Every task gives the sums of its rows as small matrices: with the values
+    moved by the first row's (for precision), counts, sums, squares and products
+    over the rows where both columns are present.  They are added up in Spark.
+    """
     cols = list(cols)
-    upper = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    r = _corr_long(df, upper)
-    mirror = r.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    full = r.unionByName(mirror)
-    grid = df.sparkSession.createDataFrame([(a, b) for a in cols for b in cols], "col_a string, col_b string")
-    return grid.join(F.broadcast(full), ["col_a", "col_b"], "left")
+    k = len(cols)
+    x = df.select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)))
+    got = x.agg(*(F.avg(f"c{i}").alias(f"c{i}") for i in range(k))).first()
+    mid = np.array([got[i] if got[i] is not None else 0.0 for i in range(k)])
+
+    def run(batches):
+        total = np.zeros((4, k, k))
+        for b in batches:
+            v = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(k)]).astype(np.float64)
+            there = ~np.isnan(v)
+            m = there.astype(np.float64)
+            v = np.where(there, v - mid, 0.0)
+            total += np.stack([m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(4 * k * k)), pa.array(total.ravel())], names=["at", "x"])
+
+    sums = x.mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()      # 4 k^2 numbers
+    total = np.zeros(4 * k * k)
+    for r in sums:
+        total[r["at"]] = r["x"]
+    n, s, q, p = total.reshape(4, k, k)
+    rows = []
+    for i in range(k):
+        for j in range(k):
+            c = n[i, j]
+            var = [(q[i, j] / c - (s[i, j] / c) ** 2), (q[j, i] / c - (s[j, i] / c) ** 2)] if c else [0.0, 0.0]
+            level = [q[i, j] / c, q[j, i] / c] if c else [0.0, 0.0]
+            flat = any(v <= 1e-12 * e for v, e in zip(var, level))
+            rows.append((cols[i], cols[j], None if flat else float((p[i, j] / c - s[i, j] / c * s[j, i] / c) / math.sqrt(var[0] * var[1]))))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def low_correlation_report(df: DataFrame, cols: Sequence[str], target: str,

@@ -1,108 +1,79 @@
-"""Exact, skew-safe quantiles (linear interpolation, pandas/``percentile`` semantics).
+"""Exact quantiles with linear interpolation (pandas semantics), one algorithm
+for every size.
 
 Spark's exact ``percentile``/``median`` aggregates keep every distinct value
-of a group in one buffer and merge it in one task: a key holding a third of
-100 TB would land on one executor.  This operator computes the same numbers
-with bounded work per task:
-
-1. ``groupBy(keys, value).count()`` — partial aggregation collapses repeats.
-2. ``repartitionByRange(keys, value)`` + sort — Spark's sampled range
-   partitioner splits a hot key across many tasks.
-3. ``mapInPandas`` — one vectorised pass per partition: the count of smaller
-   values of the same key inside the partition (local prefix) and one total
-   row per (key, segment), where a segment is the part of a key that lives in
-   one partition, named by its first value.
-4. A window over the small segment table (``≤ #keys + #partitions`` rows)
-   turns segment totals into global offsets; a join adds them to the rows,
-   so each row knows its global rank range.
-5. Keep only rows whose rank range holds a target rank and interpolate.
+of a group in one buffer.  Here a first pass brackets each wanted rank with
+``percentile_approx``, whose rank error is bounded; a second pass counts what
+lies below the bracket, notes the nearest value on either side, and keeps only
+the values inside (a share of about 4 / ACCURACY of a group's rows, with equal
+values counted together).  The ranks of those are then known exactly, and the
+two that the quantile lies between are interpolated.  Both passes are partial
+aggregates; nothing is written and nothing runs before the result is asked for.
 
 NULL and NaN values are ignored, NULL keys are dropped (pandas ``groupby``).
-``method="approx"`` switches to ``percentile_approx`` for a cheaper,
-approximate answer.
-
-Size-checked fast path: the (key, value, count) table from step 1 is
-written once (checkpoint in the shared folder) and counted.  When it has at
-most ``pricecraft.quantile.smallRows`` rows (default 200,000), Spark's exact
-``percentile(value, p, count)`` aggregate runs on it directly: no task can
-hold more than that many entries.  Larger tables (continuous values at
-scale) take steps 2-5.
+``method="approx"`` stops after ``percentile_approx``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import prefix_sums
+ACCURACY = 10_000
 
-_V, _C = "_q_v", "_q_c"
-SMALL_ROWS = 200_000
-SMALL_CONF = "pricecraft.quantile.smallRows"
 
-
-def small_rows(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(SMALL_CONF, None)
-    return int(v) if v else SMALL_ROWS
-
-
-def _materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write ``df`` once (reliable checkpoint in the shared folder) and count it."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    d = df.checkpoint(eager=True)
-    return d, d.count()
-
-
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), num_partitions: int | None = None,
-                    method: str = "exact", accuracy: int = 100000) -> DataFrame:
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], keys: Sequence[str] = (),
+                    method: str = "exact", accuracy: int = ACCURACY) -> DataFrame:
     """Quantiles of ``value_col`` per group.
 
     Returns ``keys..., p double, q double`` with one row per key and
     probability (keys with no non-NULL value are absent).
     """
     keys = list(keys)
+    if not keys:                                # one group
+        return exact_quantiles(df.withColumn("_g", F.lit(0)), value_col, probs, ["_g"], method, accuracy).drop("_g")
     probs = [float(p) for p in probs]
-    v = F.col(value_col).cast("double")
-    base = df.select(*[F.col(k) for k in keys], v.alias(_V)).where(
-        F.col(_V).isNotNull() & ~F.isnan(_V))
+    # -0.0 and 0.0 are one value
+    base = df.select(*keys, (F.col(value_col).cast("double") + 0.0).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     for k in keys:
         base = base.where(F.col(k).isNotNull())
+    points = F.array(*(F.lit(p) for p in probs))
     if method == "approx":
-        arr = F.percentile_approx(_V, F.array(*[F.lit(p) for p in probs]), accuracy)
-        agg = base.groupBy(*keys).agg(arr.alias("_qs")) if keys else base.agg(arr.alias("_qs"))
-        return agg.select(*keys, F.posexplode("_qs").alias("_i", "q")).select(
-            *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
-
-    counts = base.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias(_C))
-    counts, n_counts = _materialize(counts)
-    if n_counts <= small_rows(df):
-        arr = F.percentile(_V, F.array(*[F.lit(p) for p in probs]), F.col(_C))
-        agg = counts.groupBy(*keys).agg(arr.alias("_qs")) if keys else counts.agg(arr.alias("_qs"))
-        if not keys:
-            agg = agg.where(F.col("_qs").isNotNull())
-        return agg.select(*keys, F.posexplode("_qs").alias("_i", "q")).select(
-            *keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1).alias("p"), "q")
-    ranked = prefix_sums(counts, keys, [_V], [_C], num_partitions, with_totals=True, n_rows=n_counts)
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    r0 = F.col(f"{_C}_before")
-    j = (ranked.select(*keys, _V, r0.alias("_r0"), (r0 + F.col(_C)).alias("_r1"), F.explode(p_arr).alias("p"),
-                       F.col(f"{_C}_total").alias("_n"))
-         .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-         .withColumn("_lo", F.floor("_pos"))
-         .withColumn("_hi", F.ceil("_pos"))
-         .where((F.col("_r0") <= F.col("_hi")) & (F.col("_r1") > F.col("_lo"))))
-    has_lo = (F.col("_r0") <= F.col("_lo")) & (F.col("_r1") > F.col("_lo"))
-    has_hi = (F.col("_r0") <= F.col("_hi")) & (F.col("_r1") > F.col("_hi"))
-    out = j.groupBy(*keys, "p").agg(
-        F.max(F.when(has_lo, F.col(_V))).alias("_vlo"),
-        F.max(F.when(has_hi, F.col(_V))).alias("_vhi"),
-        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"))
-    q = F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    return out.select(*keys, "p", q.alias("q"))
+        arr = F.percentile_approx("_v", points, accuracy)
+        agg = base.groupBy(*keys).agg(arr.alias("_qs"))
+        return agg.select(*keys, F.posexplode("_qs").alias("_i", "q")).select(*keys, F.element_at(points, F.col("_i") + 1).alias("p"), "q")
+
+    # rank error 1 / accuracy on either side, so 2 / accuracy away is outside it
+    away = 2.0 / accuracy
+    wide = [min(max(p + s * away, 0.0), 1.0) for p in probs for s in (-1, 1)]
+    first = base.groupBy(*keys).agg(F.percentile_approx("_v", F.array(*(F.lit(w) for w in wide)), accuracy).alias("_b"),
+                                    F.count(F.lit(1)).alias("_n"))
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    brackets = first.select(*(F.col(k).alias(n) for k, n in names.items()), "_b", "_n")
+    same = [F.col(k) == F.col(n) for k, n in names.items()]
+    rows = base.join(brackets, same).drop(*names.values())
+    lo, hi = [F.col("_b")[2 * i] for i in range(len(probs))], [F.col("_b")[2 * i + 1] for i in range(len(probs))]
+    v = F.col("_v")
+    around = []
+    for i in range(len(probs)):
+        around += [F.count_if(v < lo[i]).alias(f"_below{i}"), F.max(F.when(v < lo[i], v)).alias(f"_prev{i}"), F.min(F.when(v > hi[i], v)).alias(f"_next{i}")]
+    outside = rows.groupBy(*keys).agg(F.max("_n").alias("_n"), *around)
+    per_p = outside.where("_n > 0").select(*keys, F.explode(F.array(*(F.struct(
+        F.lit(i).alias("i"), F.lit(p).alias("p"), F.col("_n").alias("n"), F.col(f"_below{i}").alias("below"),
+        F.col(f"_prev{i}").alias("prev"), F.col(f"_next{i}").alias("next")) for i, p in enumerate(probs)))).alias("_s")).select(*keys, "_s.*")
+    hit = F.array_compact(F.array(*(F.when((v >= lo[i]) & (v <= hi[i]), F.lit(i)) for i in range(len(probs)))))
+    inside = rows.select(*keys, "_v", F.explode(hit).alias("i")).groupBy(*keys, "i", "_v").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*keys, "i").orderBy("_v")
+    ranked = inside.withColumn("_r1", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_r0", F.col("_r1") - F.col("c"))
+    j = ranked.join(per_p, [*keys, "i"])
+    pos = F.col("p") * (F.col("n") - 1)
+    at = {"lo": F.floor(pos) - F.col("below"), "hi": F.ceil(pos) - F.col("below")}      # ranks inside the bracket
+    found = j.groupBy(*keys, "i", "p", "n", "below", "prev", "next").agg(
+        F.sum("c").alias("m"), *(F.max(F.when((F.col("_r0") <= r) & (F.col("_r1") > r), v)).alias(f"_{s}") for s, r in at.items()))
+    side = {s: F.when(r < 0, F.col("prev")).when(r >= F.col("m"), F.col("next")).otherwise(F.col(f"_{s}")) for s, r in at.items()}
+    return found.select(*keys, "p", (side["lo"] + (pos - F.floor(pos)) * (side["hi"] - side["lo"])).alias("q"))
 
 
 def quantile_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -163,6 +163,19 @@ def car_features(data: DataFrame, as_of_year: int) -> DataFrame:
     return outlier_flag_and_clip(d, ["power", "kilometer", "v_0"])
 
 
+def function_pipeline(data: DataFrame, as_of_year: int) -> DataFrame:
+    """The function-structured pipeline from end to end over labelled and
+    unlabelled rows (``source`` tells them apart): time and car features, the
+    model code, brand statistics of the labelled rows with the ratio to their
+    mean over all rows, and frequency encodings."""
+    d = car_features(data, as_of_year)
+    d = E.apply_category_codes(d, E.fit_category_codes(data, "model"), "model", "model_num")
+    train = data.where(F.col("source") == "train")
+    d = left_join_params(d, G.group_stats(train, "brand", TARGET, "brand", ("mean", "median", "std", "count")), "brand")
+    d = d.withColumn("brand_price_ratio", F.col("brand_avg_price") / d.agg(F.avg("brand_avg_price")).scalar())
+    return E.freq_encode(d, ["model", "brand", "body_type", "fuel_type", "gearbox", "not_repaired"])
+
+
 # ------------------------------------------------------------ documented-only features
 
 

@@ -4,22 +4,20 @@ reads it back, so the oracle checks the round trip."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as EVO
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 from ..sources import io as IO
 from . import evalsets as EV
 from . import features as FE
 from .q_eval import IMP_CTE, _importance
 from .q_scalars import TF_CTES
-from .registry import AS_OF_YEAR, L, register
+from .registry import AS_OF_YEAR, VALID_PCT, L, register
 
 
 def _path(spark, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/io/{name}-{uuid.uuid4().hex}"
+    return shared_path(spark, "io", name)
 
 
 RD_COLS = ["sale_key", "reg_date", "brand", "model", "body_type", "power", "kilometer", "not_repaired", "price"]
@@ -63,19 +61,21 @@ def q_write_importance(spark, sf):
     return spark.read.schema("feature string, importance double").option("header", True).csv(p)
 
 
-WF_COLS = ["sale_key", "car_age", "time_diff", "reg_season", "car_age_segment", "km_segment", "power_segment"]
+FT_COLS = ["sale_key", "split", "reg_year", "reg_month", "create_year", "create_month", "time_diff", "car_age", "reg_quarter"]
 
 
 @register("write_feature_table", f"""
-SELECT sale_key, source, CAST({AS_OF_YEAR} - TRY_CAST(substr(CAST(reg_date AS VARCHAR), 1, 4) AS INTEGER) AS INTEGER) AS car_age,
-       CAST(creat_date - reg_date AS INTEGER) AS time_diff
-FROM listings""")
+SELECT sale_key, CASE WHEN source = 'test' THEN 'test'
+                      WHEN ('0x' || substr(md5(sale_key), 1, 8))::BIGINT % 100 < {VALID_PCT} THEN 'valid' ELSE 'train' END AS split,
+       reg_year, reg_month, create_year, create_month, time_diff, car_age, reg_quarter
+FROM tf""", ctes=TF_CTES)
 def q_write_feature_table(spark, sf):
-    """Feature table written as Parquet partitioned by source, read back."""
-    d = FE.time_features(L(spark, sf), AS_OF_YEAR).select("sale_key", "source", "car_age", "time_diff")
+    """Time features written as Parquet in train, valid and test sets, read back."""
+    d = EVO.holdout_split(FE.time_features(L(spark, sf), AS_OF_YEAR), "sale_key", VALID_PCT)
+    d = d.withColumn("split", F.when(F.col("source") == "test", "test").otherwise(F.col("split"))).select(*FT_COLS)
     p = _path(spark, "features")
-    IO.write_feature_table(d, p, partition_by="source")
-    return spark.read.parquet(p).select("sale_key", "source", "car_age", "time_diff")
+    IO.write_feature_table(d, p, partition_by="split")
+    return spark.read.parquet(p).select(*FT_COLS)
 
 
 # ---------------------------------------------------------------- streaming

@@ -11,7 +11,7 @@ from ..operators import profile as P
 from ..operators.outliers import iqr_filter
 from . import features as FE
 from .q_profile import LISTING_COLS, NUMERIC, _corr_sql, _union_all
-from .q_scalars import TF_CTES, _case
+from .q_scalars import PD_CTES, TF_CTES, _case
 from .registry import AS_OF_YEAR, L, TRAIN, register
 
 Y = AS_OF_YEAR
@@ -95,7 +95,6 @@ def q_iqr_filter(spark, sf):
 # ---------------------------------------------------------------- 2.14 composites
 
 FLAG_FEATS = ["power", "kilometer", "not_repaired", "region_code", "offer_type", "car_age"] + FE.V_COLS
-FLAG_TYPES = {"power": "INTEGER", "region_code": "INTEGER", "offer_type": "INTEGER", "car_age": "INTEGER"}
 
 
 def _flagship_sql() -> tuple[str, str]:
@@ -110,9 +109,7 @@ def _flagship_sql() -> tuple[str, str]:
                     f"FROM (SELECT DISTINCT {c} FROM ft WHERE {c} IS NOT NULL))")
     sel = []
     for c in FLAG_FEATS:
-        t = FLAG_TYPES.get(c)
-        fill = f"CAST(trunc(m_{c}) AS {t})" if t else f"m_{c}"
-        sel.append(f"coalesce(coalesce(fa.{src.get(c, c)}, {fill}), 0) AS {c}")
+        sel.append(f"coalesce(CAST(fa.{src.get(c, c)} AS DOUBLE), m_{c}, 0.0) AS {c}")
     sel += [f"coalesce(cc_{c}.code, -1) AS {c}_code" for c in FE.CATEGORICAL]
     joins = " ".join(f"LEFT JOIN cc_{c} ON fa.{c} = cc_{c}.v" for c in FE.CATEGORICAL)
     return f"SELECT fa.sale_key, fa.price, {', '.join(sel)} FROM fa CROSS JOIN fm {joins}", ",\n".join(ctes)
@@ -243,7 +240,7 @@ def _desc(c: str) -> str:
         "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
         "CAST(NULL AS DOUBLE) AS q25, CAST(NULL AS DOUBLE) AS q50, CAST(NULL AS DOUBLE) AS q75, "
         f"CAST(NULL AS DOUBLE) AS max FROM train"))
-    for c in DD_COLS]), rounds={k: 2 for k in ["mean", "std", "min", "q25", "q50", "q75", "max"]})
+    for c in DD_COLS]), rounds={k: 4 for k in ["mean", "std", "min", "q25", "q50", "q75", "max"]})
 def q_data_dictionary(spark, sf):
     """Field, type, description, count, missing and describe() per column of train."""
     tr = TRAIN(spark, sf).drop("source")
@@ -264,7 +261,7 @@ EDA_STRINGS = ["brand", "model", "body_type", "fuel_type", "gearbox", "not_repai
 
 @register("eda_report", _union_all(
     ["SELECT 'shape' AS section, 'n_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM train",
-     "SELECT 'shape', 'n_columns', CAST(29 AS DOUBLE)",
+     f"SELECT 'shape', 'n_columns', CAST({len(LISTING_COLS) - 1} AS DOUBLE)",
      "SELECT 'target', 'min', min(price) FROM train", "SELECT 'target', 'max', max(price) FROM train",
      "SELECT 'target', 'mean', avg(price) FROM train",
      "SELECT 'target', 'median', quantile_cont(price, 0.5) FROM train",
@@ -273,7 +270,7 @@ EDA_STRINGS = ["brand", "model", "body_type", "fuel_type", "gearbox", "not_repai
      "SELECT 'target', 'kurtosis', kurtosis(price) FROM train"]
     + [f"SELECT 'n_distinct', '{c}', CAST(count(DISTINCT {c}) AS DOUBLE) FROM train" for c in EDA_STRINGS]
     + [f"SELECT 'corr', \"column\", corr FROM (SELECT * FROM (" + _union_all(
-        [f"SELECT '{c}' AS \"column\", {_corr_sql(c, 'price')} AS corr" for c in NUMERIC])
+        [f"SELECT '{c}' AS \"column\", {_corr_sql(c, 'price')} AS corr" for c in NUMERIC if c != "price"])
        + ") ORDER BY corr DESC NULLS LAST, \"column\" ASC LIMIT 5)"]), rounds={"value": 4})
 def q_eda_report(spark, sf):
     """Shape, target moments, distinct counts and the top-5 correlations in one long table."""
@@ -282,12 +279,61 @@ def q_eda_report(spark, sf):
         F.explode(F.array(F.struct(F.lit("shape").alias("section"), F.lit("n_rows").alias("name"),
                                    F.col("v").alias("value")),
                           F.struct(F.lit("shape").alias("section"), F.lit("n_columns").alias("name"),
-                                   F.lit(29.0).alias("value")))).alias("s")).select("s.*")
+                                   F.lit(float(len(tr.drop("source").columns))).alias("value")))).alias("s")).select("s.*")
     ts = P.target_summary(tr, "price")
     tgt = ts.select(F.explode(F.array(*[F.struct(F.lit("target").alias("section"), F.lit(c).alias("name"),
                                                  F.col(c).alias("value")) for c in ts.columns])).alias("s")).select("s.*")
     nd = P.n_distinct(tr, EDA_STRINGS).select(F.lit("n_distinct").alias("section"), F.col("column").alias("name"),
                                               F.col("n_distinct").cast("double").alias("value"))
-    cr = P.correlation_with_target(tr, NUMERIC, "price", top=5).select(
+    cr = P.correlation_with_target(tr, [c for c in NUMERIC if c != "price"], "price", top=5).select(
         F.lit("corr").alias("section"), F.col("column").alias("name"), F.col("corr").alias("value"))
     return shape.unionByName(tgt).unionByName(nd).unionByName(cr)
+
+
+# ---------------------------------------------------------------- function-structured pipeline
+
+FP_NUM = ["power", "kilometer"] + FE.V_COLS
+FP_FENCED = ["power", "kilometer", "v_0"]
+FP_FREQ = {"model": "model", "brand": "brand", "body_type": "body_type", "fuel_type": "fuel_type", "gearbox": "gearbox",
+           "not_repaired": "CAST(TRY_CAST(nullif(not_repaired, '-') AS DOUBLE) AS VARCHAR)"}
+
+
+def _function_pipeline_sql() -> tuple[str, str]:
+    ctes = PD_CTES.strip() + ",\n" + ",\n".join([
+        "fm AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in FP_NUM) + " FROM listings)",
+        "fl AS (SELECT * REPLACE (" + ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in FP_NUM) + "), "
+        + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in FP_NUM) + ", kilometer AS km_raw FROM pdx, fm)",
+        "fq AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.05) AS a_{c}, quantile_cont({c}, 0.95) AS b_{c}" for c in FP_FENCED) + " FROM fl)",
+        "ff AS (SELECT " + ", ".join(f"a_{c} - 1.5 * (b_{c} - a_{c}) AS lo_{c}, b_{c} + 1.5 * (b_{c} - a_{c}) AS hi_{c}" for c in FP_FENCED) + " FROM fq)",
+        "bs AS (SELECT brand, avg(price) AS brand_avg_price, quantile_cont(price, 0.5) AS brand_price_median, "
+        "stddev_samp(price) AS brand_price_std, count(price) AS brand_count FROM train WHERE brand IS NOT NULL GROUP BY brand)",
+        "mc AS (SELECT model AS m_key, CAST(row_number() OVER (ORDER BY model) - 1 AS INTEGER) AS code "
+        "FROM (SELECT DISTINCT model FROM listings WHERE model IS NOT NULL))"])
+    sel = ["sale_key", "vehicle_age_days", "vehicle_age_years",
+           "CAST(coalesce(vehicle_age_years < 1, false) AS INTEGER) AS is_new_car",
+           "CAST(floor(((month(reg_dt) % 12) + 3) / 3.0) AS INTEGER) AS reg_season",
+           "CAST(floor(((month(creat_dt) % 12) + 3) / 3.0) AS INTEGER) AS creat_season",
+           "CAST(year(reg_dt) AS INTEGER) AS reg_year", "km_raw / (vehicle_age_years + 0.1) AS km_per_year",
+           _case("vehicle_age_years", B.AGE_YEARS_EDGES, B.AGE_YEARS_LABELS, False) + " AS age_segment",
+           f"CAST({Y} - year(reg_dt) AS INTEGER) AS car_age_from_now",
+           "coalesce(l.brand, 'nan') || '_' || coalesce(l.model, 'nan') AS brand_model", "coalesce(mc.code, -1) AS model_num"]
+    sel += [f"{c}_missing" for c in FP_NUM] + [c for c in FP_NUM if c not in FP_FENCED]
+    for c in FP_FENCED:
+        sel += [f"greatest(lo_{c}, least(hi_{c}, {c})) AS {c}", f"CAST({c} < lo_{c} OR {c} > hi_{c} AS INTEGER) AS {c}_outlier"]
+    sel += ["brand_avg_price", "brand_price_median", "brand_price_std", "brand_count", "brand_avg_price / avg(brand_avg_price) OVER () AS brand_price_ratio"]
+    for c, x in FP_FREQ.items():
+        x = x if c == "not_repaired" else f"l.{x}"
+        sel += [f"coalesce({x}, '未知') AS {c}", f"count(*) OVER (PARTITION BY coalesce({x}, '未知')) / CAST(count(*) OVER () AS DOUBLE) AS {c}_freq"]
+    return ctes, "SELECT " + ",\n  ".join(sel) + "\nFROM fl l CROSS JOIN ff LEFT JOIN bs ON l.brand = bs.brand LEFT JOIN mc ON l.model = mc.m_key"
+
+
+_FP_CTES, _FP_SQL = _function_pipeline_sql()
+FP_ROUNDS = ["vehicle_age_years", "km_per_year", "brand_avg_price", "brand_price_median", "brand_price_std", "brand_price_ratio",
+             *FP_NUM, *(f"{c}_freq" for c in FP_FREQ)]
+FP_COLS = (["sale_key", "vehicle_age_days", "is_new_car", "reg_season", "creat_season", "reg_year", "age_segment", "car_age_from_now", "brand_model",
+            "model_num", "brand_count"] + [f"{c}_missing" for c in FP_NUM] + [f"{c}_outlier" for c in FP_FENCED] + list(FP_FREQ) + FP_ROUNDS)
+
+
+@register("function_pipeline", _FP_SQL, ctes=_FP_CTES, rounds={c: 6 for c in FP_ROUNDS})
+def q_function_pipeline(spark, sf):
+    return FE.function_pipeline(L(spark, sf), Y).select(*FP_COLS)

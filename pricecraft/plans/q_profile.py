@@ -44,18 +44,6 @@ def q_table_shape(spark, sf):
         SC.table_shape(TEST(spark, sf).drop("source"), "test"))
 
 
-@register("schema_diff")
-def q_schema_diff(spark, sf):
-    """Columns only in train ('a') or only in test ('b'); metadata, rows-only check."""
-    return SC.schema_diff(spark, TRAIN(spark, sf).drop("source"), TEST(spark, sf).drop("source"))
-
-
-@register("dtype_counts")
-def q_dtype_counts(spark, sf):
-    """Columns per type of the train table; metadata, rows-only check."""
-    return SC.dtype_counts(spark, TRAIN(spark, sf).drop("source"))
-
-
 @register("select_by_type", "SELECT " + ", ".join(NUMERIC) + " FROM listings")
 def q_select_by_type(spark, sf):
     d = L(spark, sf)
@@ -324,11 +312,13 @@ HM_COLS = NUMERIC[:12]
 
 
 @register("histogram_many", """
-SELECT "column", CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((x - mn) / ((mx - mn) / 50)), 49) END AS INTEGER) AS bin,
-       count(*) AS count
-FROM hl JOIN hr USING ("column") GROUP BY ALL""", ctes="hl AS (" + _union_all([
+SELECT hr."column", CAST(r.range AS INTEGER) AS bin, mn + r.range * ((mx - mn) / 50) AS lo, mn + (r.range + 1) * ((mx - mn) / 50) AS hi,
+       coalesce(hc.count, 0) AS count
+FROM hr CROSS JOIN range(50) r LEFT JOIN hc ON hc."column" = hr."column" AND hc.bin = r.range""", ctes="hl AS (" + _union_all([
     f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS x FROM train WHERE {c} IS NOT NULL" for c in HM_COLS]) + """),
-hr AS (SELECT "column", min(x) AS mn, max(x) AS mx FROM hl GROUP BY "column")""")
+hr AS (SELECT "column", min(x) AS mn, max(x) AS mx FROM hl GROUP BY "column"),
+hc AS (SELECT "column", CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((x - mn) / ((mx - mn) / 50)), 49) END AS INTEGER) AS bin, count(*) AS count
+       FROM hl JOIN hr USING ("column") GROUP BY ALL)""", rounds={"lo": 6, "hi": 6})
 def q_histogram_many(spark, sf):
     return P.histogram_many(TRAIN(spark, sf), HM_COLS, 50)
 
@@ -374,7 +364,7 @@ def q_correlation_with_target(spark, sf):
     return P.correlation_with_target(TRAIN(spark, sf), NUMERIC, "price", top=10)
 
 
-CM_COLS = ["power", "kilometer", "region_code", "offer_type", "price", "v_0", "v_1", "v_2", "v_3", "v_12"]
+CM_COLS = NUMERIC
 
 
 @register("correlation_matrix", _union_all([

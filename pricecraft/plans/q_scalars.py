@@ -113,7 +113,7 @@ def q_calendar_quarter(spark, sf):
 
 
 @register("calendar_quarter_clipped", """
-SELECT sale_key, greatest(1, least(4, reg_quarter)) AS reg_quarter_clipped FROM tf""", ctes=TF_CTES)
+SELECT sale_key, CASE WHEN reg_quarter IS NOT NULL THEN greatest(1, least(4, reg_quarter)) END AS reg_quarter_clipped FROM tf""", ctes=TF_CTES)
 def q_calendar_quarter_clipped(spark, sf):
     return _tf(spark, sf).select("sale_key", D.calendar_quarter_clipped("reg_month").alias("reg_quarter_clipped"))
 
@@ -396,8 +396,9 @@ def q_outlier_flag(spark, sf):
 
 
 @register("winsorize", """
-SELECT sale_key, greatest(p_lo, least(p_hi, power)) AS power, greatest(k_lo, least(k_hi, kilometer)) AS kilometer,
-  greatest(v_lo, least(v_hi, v_0)) AS v_0
+SELECT sale_key, CASE WHEN power IS NOT NULL THEN greatest(p_lo, least(p_hi, power)) END AS power,
+  CASE WHEN kilometer IS NOT NULL THEN greatest(k_lo, least(k_hi, kilometer)) END AS kilometer,
+  CASE WHEN v_0 IS NOT NULL THEN greatest(v_lo, least(v_hi, v_0)) END AS v_0
 FROM listings, fz""", ctes=FENCE_CTES, rounds=R(["power", "kilometer", "v_0"], 9))
 def q_winsorize(spark, sf):
     d = outlier_flag_and_clip(L(spark, sf), ["power", "kilometer", "v_0"])

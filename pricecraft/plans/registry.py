@@ -22,18 +22,11 @@ AS_OF_YEAR = 2004       # reference year for ages (ages 3..9 on the driver table
 VALID_PCT = 20          # hold-out share for the repeatable split
 
 
-def _offset(d: int) -> float:
-    """A sub-unit shift so that values lying exactly on a rounding boundary
-    (a 2-decimal sum divided by a power of two) are not flipped by
-    last-bit summation noise; invisible after rounding."""
-    return 0.1234567 * 10.0 ** (-d)
-
-
 def _round(df: DataFrame, spec: dict[str, int]) -> DataFrame:
     if not spec:
         return df
     # "+ 0.0" turns -0.0 into 0.0
-    return df.withColumns({c: F.round(F.col(c) + _offset(d), d) + 0.0 for c, d in spec.items()})
+    return df.withColumns({c: F.round(F.col(c), d) + 0.0 for c, d in spec.items()})
 
 
 def _round_sql(sql: str, spec: dict[str, int], ctes: str = "") -> str:
@@ -41,7 +34,7 @@ def _round_sql(sql: str, spec: dict[str, int], ctes: str = "") -> str:
     if ctes.strip():
         head += ",\n" + ctes.strip().rstrip(",")
     if spec:
-        repl = ", ".join(f'round("{c}" + {_offset(d)!r}, {d}) + 0.0 AS "{c}"' for c, d in spec.items())
+        repl = ", ".join(f'round("{c}", {d}) + 0.0 AS "{c}"' for c, d in spec.items())
         return f"{head}\nSELECT * REPLACE ({repl}) FROM (\n{sql.strip()}\n) _q"
     return f"{head}\n{sql.strip()}"
 

@@ -1,11 +1,11 @@
-"""Session helpers: a tuned local/cluster session and lineage cutting."""
+"""Session helpers: a tuned local/cluster session and its shared folder."""
 
 from __future__ import annotations
 
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on.  Adaptive execution re-plans joins and
 # coalesces shuffle partitions at runtime; skew-join splitting handles a hot
@@ -48,12 +48,15 @@ def get_spark(master: str | None = None, app: str = "pricecraft",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins; a folder is only chosen here when none is set
-    (local tests).
+    The cluster's setting wins.  Only a local master may fall back to a
+    folder of this machine; elsewhere a missing setting is an error, because
+    other machines could not read what is written there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     if not d:
         d = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "pricecraft-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -62,14 +65,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return d
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def _own_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricecraft-{spark.sparkContext.applicationId}"
 
-    Cuts lineage in a way that survives executor loss (unlike local
-    checkpoints, the files live on shared storage).
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name or 'tbl'}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+
+def shared_path(spark: SparkSession, kind: str, name: str) -> str:
+    """A new path in this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{kind}/{name}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete what this application wrote below ``shared_path``.  Call it when
+    no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,10 +3,12 @@ submissions, importance tables, feature tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import nan_to_null
+
 # Declared schema of the raw listing files (space separated, header row).
 RAW_FIELDS = (
     [("SaleID", T.LongType()), ("name", T.LongType()), ("regDate", T.IntegerType()),
@@ -25,12 +27,32 @@ def raw_schema(with_price: bool = True) -> T.StructType:
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    sep: str = " ", header: bool = True) -> DataFrame:
-    """Header + separator text files; declare the schema (no inference pass)."""
-    r = spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-    r = r.option("nullValue", "").option("nanValue", "NaN")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.csv(path)
+    """Header + separator text files with a declared schema (no inference pass).
+
+    With a header the columns are found by name, in whatever order the file
+    has them; a declared column that the header lacks is an error, further
+    ones are left out.  Text that is no value of the declared type gives
+    NULL, and so do empty fields and NaN.
+    """
+    r = spark.read.option("sep", sep).option("header", header).option("nullValue", "")
+    if schema is None:
+        return r.csv(path)
+    if not header:
+        raw = r.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
+    else:
+        raw = r.csv(path)
+        missing = [f.name for f in schema.fields if f.name not in raw.columns]
+        if missing:
+            raise ValueError(f"{path}: the header lacks {missing}")
+    return raw.select(*(_typed(f).alias(f.name) for f in schema.fields))
+
+
+def _typed(f: T.StructField) -> Column:
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.StringType):
+        return c
+    x = c.try_cast(f.dataType)
+    return nan_to_null(x) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else x
 
 
 LOG_SCHEMAS = {

@@ -2,17 +2,16 @@
 
 The driver tables carry no car data, so this view renames and derives the
 listing columns from ``lineitem ⨝ orders ⨝ customer ⨝ part`` plus 15
-embedding elements.  NULLs, an invalid month, a zero power and a ``-``
+embedding elements.  NULLs (in text and number columns), an invalid month, a zero power and a ``-``
 sentinel are injected by fixed rules so every cleaning path is exercised.
 The same definition exists as SQL (``LISTINGS_SQL``) for the DuckDB oracle.
 
 Scale notes: ``lineitem ⨝ orders`` is a large-large equi-join (sort-merge on
 the order key, both sides shuffled once); ``part`` and ``customer`` joins are
 left to the planner (adaptive execution turns them into broadcasts when their
-measured size is under the threshold).  ``embeddings`` is keyed by
-``l_partkey % 500``, so only ``vec_id < 500`` can match; that side is filtered,
-written once and counted, and broadcast only under the row limit (a
-shuffle join otherwise).
+measured size is under the threshold).  ``embeddings`` is joined on
+``l_partkey`` modulo its own row count, so every vector takes part; that join
+is left to the planner too.
 """
 
 from __future__ import annotations
@@ -20,8 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import hash_pct
+from ..session import shared_path
+
 N_V = 15          # anonymous numeric features v_0 .. v_14
-EMBED_MOD = 500   # vec_id = l_partkey % 500
+NULL_V = (3, 7)   # those with injected NULLs
 TEST_SHARE = 20   # percent of orders that form the unlabeled ``test`` side
 
 LISTING_KEY = "sale_key"
@@ -37,11 +39,6 @@ def yyyymmdd(c: Column, month: Column | None = None) -> Column:
     return (F.year(c) * 10000 + m * 100 + F.dayofmonth(c)).cast("int")
 
 
-def hash_pct(c: Column) -> Column:
-    """Repeatable 0..99 bucket of a value: first 32 bits of its md5, mod 100."""
-    return (F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("long") % 100).cast("int")
-
-
 _MATERIALIZED: dict[tuple[str, str], str] = {}
 MATERIALIZE_CONF = "pricecraft.listings.materialize"
 
@@ -62,9 +59,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _MATERIALIZED.get(key)
     if path is None:
-        from ..session import ensure_checkpoint_dir
-        import uuid
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/listings-{uuid.uuid4().hex}"
+        path = shared_path(spark, "tables", "listings")
         build_listings(spark, sf_dir).write.partitionBy("source").parquet(path)
         _MATERIALIZED[key] = path
     df = spark.read.parquet(path)
@@ -76,11 +71,6 @@ LISTING_COLUMNS = (["sale_key", "reg_date", "creat_date", "brand", "model", "bod
                    + [f"v_{i}" for i in range(N_V)] + ["source"])
 
 
-def _checked(df: DataFrame) -> DataFrame:
-    from ..operators.joins import checked_broadcast
-    return checked_broadcast(df)
-
-
 def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the listings DataFrame from the driver tables (lazy)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -90,8 +80,9 @@ def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    emb = (table(spark, sf_dir, "embeddings")
-           .where(F.col("vec_id") < EMBED_MOD)
+    vectors = table(spark, sf_dir, "embeddings")
+    n_vec = max(vectors.count(), 1)             # from the file footers
+    emb = (vectors
            .select(F.col("vec_id"),
                    *[F.try_element_at("embedding", F.lit(i + 1)).cast("double").alias(f"v_{i}")
                      for i in range(N_V)]))
@@ -99,7 +90,7 @@ def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(cust, F.col("o_custkey") == cust.c_custkey)
            .join(part, F.col("l_partkey") == part.p_partkey)
-           .join(_checked(emb), (F.col("l_partkey") % EMBED_MOD) == F.col("vec_id"), "left"))
+           .join(emb, (F.col("l_partkey") % n_vec) == F.col("vec_id"), "left"))
 
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
     return j.select(
@@ -121,7 +112,7 @@ def build_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("int").alias("region_code"),
         F.lit(0).alias("offer_type"),
         F.col("l_extendedprice").alias("price"),
-        *[F.col(f"v_{i}") for i in range(N_V)],
+        *[F.when(pk % 37 != 0, F.col(f"v_{i}")).alias(f"v_{i}") if i in NULL_V else F.col(f"v_{i}") for i in range(N_V)],
         F.when(hash_pct(ok) < TEST_SHARE, "test").otherwise("train").alias("source"),
     )
 
@@ -162,11 +153,12 @@ listings AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  LEFT JOIN embeddings e ON e.vec_id = l.l_partkey % 500 AND e.vec_id < 500
+  LEFT JOIN embeddings e ON e.vec_id = l.l_partkey % (SELECT greatest(count(*), 1) FROM embeddings)
 ),
 train AS (SELECT * EXCLUDE (source) FROM listings WHERE source = 'train'),
 test AS (SELECT * EXCLUDE (source, price) FROM listings WHERE source = 'test')
 """.replace("{vcols}", ",\n    ".join(
+    f"CASE WHEN l.l_partkey % 37 <> 0 THEN CAST(e.embedding[{i + 1}] AS DOUBLE) END AS v_{i}" if i in NULL_V else
     f"CAST(e.embedding[{i + 1}] AS DOUBLE) AS v_{i}" for i in range(N_V)))
 
 

@@ -12,14 +12,12 @@ moved driver resumes where it stopped.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import checked_broadcast
 from ..plans import features as FE
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 
 def stream_features(stream: DataFrame, brand_stats: DataFrame, as_of_year: int) -> DataFrame:
@@ -32,8 +30,8 @@ def stream_features(stream: DataFrame, brand_stats: DataFrame, as_of_year: int)
 def run_available_now(spark: SparkSession, source_dir: str, schema, transform, name: str = "stream") -> DataFrame:
     """Read ``source_dir`` as a Parquet stream, apply ``transform``, write a
     Parquet sink with the availableNow trigger, and return the sink."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    base = shared_path(spark, "streams", name)
+    stream = spark.readStream.schema(schema).parquet(source_dir)
     out = transform(stream)
     q = (out.writeStream.format("parquet").option("path", f"{base}/sink")
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -42,11 +40,12 @@ def run_available_now(spark: SparkSession, source_dir: str, schema, transform, n
     return spark.read.parquet(f"{base}/sink")
 
 
-def stage_files(df: DataFrame, name: str, parts: int = 4) -> str:
-    """Write ``df`` as a few Parquet files (the stream's input) in the shared folder."""
+def stage_files(df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet files (the stream's input) in the shared folder,
+    as many as it has partitions."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-input/{name}-{uuid.uuid4().hex}"
-    df.repartition(parts).write.parquet(path)
+    path = shared_path(spark, "stream-input", name)
+    df.write.parquet(path)
     return path
 
 

@@ -16,6 +16,8 @@ def spark():
         "spark.driver.memory": "6g", "spark.sql.execution.arrow.maxRecordsPerBatch": "50"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from pricecraft.session import cleanup
+    cleanup(s)
 
 
 SF_SMALL = "/root/testdata/sf0.001"

@@ -1,6 +1,7 @@
 """Operators on hand-made tables: quantiles, prefix sums, moments, encoders,
 constant columns, histories, metrics, splits."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -18,12 +19,12 @@ from pricecraft.operators.prefix import dense_codes, prefix_sums
 from pricecraft.operators.quantiles import exact_quantiles
 
 
-@pytest.fixture(params=["small", "large"])
+@pytest.fixture(params=["true", "false"])
 def path(spark, request):
-    """Run a test through the small-table path and through the skew-safe path."""
-    spark.conf.set("pricecraft.quantile.smallRows", "200000" if request.param == "small" else "0")
+    """Run a test with and without reuse of equal exchanges: no result may rest on it."""
+    spark.conf.set("spark.sql.exchange.reuse", request.param)
     yield request.param
-    spark.conf.unset("pricecraft.quantile.smallRows")
+    spark.conf.unset("spark.sql.exchange.reuse")
 
 
 @pytest.mark.parametrize("seed", [0, 1, 2])
@@ -36,7 +37,7 @@ def test_exact_quantiles_match_pandas_under_skew(spark, seed, path):
     pdf.loc[::97, "v"] = np.nan
     df = spark.createDataFrame(pdf).repartition(3)
     probs = [0, 0.05, 0.25, 0.5, 0.75, 0.95, 1]
-    got = exact_quantiles(df, "v", probs, ["k"], num_partitions=7).toPandas()
+    got = exact_quantiles(df, "v", probs, ["k"]).toPandas()
     ref = pdf.groupby("k")["v"].quantile(probs).reset_index()
     ref.columns = ["k", "p", "q"]
     m = got.merge(ref, on=["k", "p"])
@@ -50,15 +51,51 @@ def test_quantiles_single_value_and_empty_group(spark, path):
     assert [(r.k, r.q) for r in got] == [("a", 5.0), ("a", 5.0)]
 
 
-def test_prefix_sums_match_window(spark):
+@pytest.mark.parametrize("accuracy", [10, 50, 10_000])
+def test_quantiles_are_exact_at_any_bracket_width(spark, path, accuracy):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.normal(size=1500), np.repeat(0.25, 700), rng.exponential(size=800)])
+    df = spark.createDataFrame(pd.DataFrame({"v": rng.permutation(v)})).repartition(5)
+    probs = [0, 0.01, 0.1, 0.5, 0.77, 0.999, 1]
+    got = {r.p: r.q for r in exact_quantiles(df, "v", probs, accuracy=accuracy).collect()}
+    assert np.allclose([got[p] for p in probs], np.quantile(v, probs), rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 10, 101])
+def test_quantiles_of_few_values(spark, n):
+    v = [float(x * x) for x in range(n)]
+    probs = [0, 0.05, 0.25, 0.5, 0.75, 0.95, 1]
+    got = {r.p: r.q for r in exact_quantiles(spark.createDataFrame([(x,) for x in v], "v double"), "v", probs).collect()}
+    assert np.allclose([got[p] for p in probs], np.quantile(v, probs))
+
+
+def test_prefix_sums_match_window(spark, path):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": rng.choice(["x", "y"], 500, p=[0.9, 0.1]), "o": rng.permutation(500),
                         "m": rng.integers(0, 10, 500)})
-    out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["o"], ["m"], num_partitions=6, with_totals=True).toPandas()
+    out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["o"], ["m"], F.floor(F.col("o") / 37)).toPandas()
     ref = pdf.sort_values(["k", "o"]).assign(b=lambda d: d.groupby("k").m.cumsum() - d.m)
     m = out.merge(ref, on=["k", "o"])
-    assert (m.m_before == m.b).all()
-    assert (m.m_total == m.groupby("k").m_x.transform("sum")).all()
+    assert len(m) == 500 and (m.m_before == m.b).all()
+
+
+def test_dense_codes_of_many_values(spark, path):
+    values = [f"v{i % 700:04d}" for i in range(2100)]
+    got = {r.v: r.code for r in dense_codes(spark.createDataFrame([(v,) for v in values], "v string"), "v").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(set(values)))}
+
+
+def test_ordered_target_stats_without_exchange_reuse(spark, path):
+    rows = [(f"key{i}", "hot" if i % 3 else "cold", float(i % 17)) for i in range(600)]
+    df = spark.createDataFrame(rows, "key string, c string, y double")
+    got = {r.key: r.c_ots for r in E.ordered_target_stats(df, "c", "y", "key").collect()}
+    order = lambda k: (int(hashlib.md5(k.encode()).hexdigest()[:8], 16), k)
+    mean, run = sum(r[2] for r in rows) / len(rows), {}
+    for k, c, y in sorted(rows, key=lambda r: order(r[0])):
+        s, n = run.get(c, (0.0, 0))
+        assert math.isclose(got[k], (s + mean) / (n + 1), rel_tol=1e-12)
+        run[c] = (s + y, n + 1)
+    assert len(got) == 600
 
 
 def test_dense_codes_sorted(spark, path):

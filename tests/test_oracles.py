@@ -1,9 +1,4 @@
-"""Registered queries against their DuckDB oracles on the smallest tables.
-
-By default a representative subset runs; PRICECRAFT_FULL=1 runs every key.
-"""
-
-import os
+"""Every registered query against its DuckDB oracle on the smallest tables."""
 
 import pytest
 
@@ -11,14 +6,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_util import compare, duck
 
-SUBSET = ["flagship_tier_summary", "advanced_features", "flagship_features", "target_encode", "freq_encode",
-          "ordered_target_stats", "describe", "group_stats_median", "boxplot_stats", "category_codes",
-          "qcut_tier", "outlier_flag", "histogram", "density_grid", "correlation_with_target",
-          "early_stop_point", "ensemble_blend", "impute_median", "standard_scale", "stream_features",
-          "read_delimited", "union_by_name", "missing_report", "data_dictionary", "eda_report"]
-
 ORACLES = E.oracle_sql()
-NAMES = sorted(ORACLES) if os.environ.get("PRICECRAFT_FULL") else SUBSET
+NAMES = sorted(ORACLES)
 
 
 @pytest.mark.parametrize("name", NAMES)
