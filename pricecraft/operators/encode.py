@@ -208,11 +208,11 @@ def fit_medians(train: DataFrame, cols: Sequence[str], **qkw) -> DataFrame:
     return q.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
 
 
-def apply_fill_row(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
+def apply_fill_row(df: DataFrame, fills: DataFrame, cols: Sequence[str], fetch: bool = False) -> DataFrame:
     """NULL -> value from a one-row fill table (scalar subqueries, no join).
 
     The filled columns are doubles: the median of integers need not be one."""
-    s = ScalarRow(fills)
+    s = ScalarRow(fills, fetch)
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), s[c].cast("double")) for c in cols})
 
 

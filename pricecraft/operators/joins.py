@@ -46,15 +46,21 @@ class ScalarRow:
     """Fields of a one-row DataFrame as scalar-subquery columns.
 
     The row is packed into one struct subquery, so however many fields are
-    used, Spark runs (and reuses) a single subquery job.
+    used, Spark runs (and reuses) a single subquery job.  With ``fetch`` the row
+    is read at once and its fields are literals: for long chains of fits, whose
+    plans would otherwise nest.
     """
 
-    def __init__(self, one_row: DataFrame):
+    def __init__(self, one_row: DataFrame, fetch: bool = False):
         self._cols = one_row.columns
-        self._s = one_row.select(F.struct(*[F.col(f"`{c}`") for c in self._cols]).alias("s")).scalar()
+        self._types = {f.name: f.dataType for f in one_row.schema.fields}
+        self._row = one_row.first() if fetch else None
+        self._s = None if fetch else one_row.select(F.struct(*[F.col(f"`{c}`") for c in self._cols]).alias("s")).scalar()
 
     def __getitem__(self, name: str):
-        return self._s.getField(name)
+        if self._s is not None:
+            return self._s.getField(name)
+        return F.lit(self._row[name] if self._row is not None else None).cast(self._types[name])
 
     @property
     def columns(self) -> list[str]:

@@ -48,9 +48,9 @@ def _sfx(p: float) -> str:
 
 
 def outlier_flag_and_clip(df: DataFrame, cols: Sequence[str], lo_p: float = 0.05,
-                          hi_p: float = 0.95, k: float = 1.5, **qkw) -> DataFrame:
+                          hi_p: float = 0.95, k: float = 1.5, fetch: bool = False, **qkw) -> DataFrame:
     """``<c>_outlier`` flag, then clip ``c`` to the same fences (fences fitted on ``df``)."""
-    f = ScalarRow(fences(df, cols, lo_p, hi_p, k, **qkw))
+    f = ScalarRow(fences(df, cols, lo_p, hi_p, k, **qkw), fetch)
     out = df
     for c in cols:
         lo, hi = f[f"{c}_lo"], f[f"{c}_hi"]

@@ -155,12 +155,12 @@ def car_features(data: DataFrame, as_of_year: int) -> DataFrame:
         "age_segment": B.cut_age_years("vehicle_age_years"),
     })
     d = d.withColumns({f"{c}_missing": S.flag_missing(c) for c in num})
-    d = E.apply_fill_row(d, E.fit_medians(d, num), num)
+    d = E.apply_fill_row(d, E.fit_medians(data, num), num, fetch=True)
     d = d.withColumns({
         "brand_model": S.concat_key("brand", "model"),
         "car_age_from_now": D.car_age("reg_year", as_of_year),
     })
-    return outlier_flag_and_clip(d, ["power", "kilometer", "v_0"])
+    return outlier_flag_and_clip(d, ["power", "kilometer", "v_0"], fetch=True)
 
 
 def function_pipeline(data: DataFrame, as_of_year: int) -> DataFrame:
@@ -172,7 +172,8 @@ def function_pipeline(data: DataFrame, as_of_year: int) -> DataFrame:
     d = E.apply_category_codes(d, E.fit_category_codes(data, "model"), "model", "model_num")
     train = data.where(F.col("source") == "train")
     d = left_join_params(d, G.group_stats(train, "brand", TARGET, "brand", ("mean", "median", "std", "count")), "brand")
-    d = d.withColumn("brand_price_ratio", F.col("brand_avg_price") / d.agg(F.avg("brand_avg_price")).scalar())
+    mean = d.agg(F.avg("brand_avg_price")).first()[0]
+    d = d.withColumn("brand_price_ratio", F.col("brand_avg_price") / F.lit(mean).cast("double"))
     return E.freq_encode(d, ["model", "brand", "body_type", "fuel_type", "gearbox", "not_repaired"])
 
 
