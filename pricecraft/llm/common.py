@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 import zlib
 
 import numpy as np
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 #: Word separators of every operator: space and 0x09-0x0D.
 SEPARATORS = b" \t\n\x0b\x0c\r"
@@ -23,7 +22,7 @@ SEPARATORS = b" \t\n\x0b\x0c\r"
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder (``spark.checkpoint.dir``)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    return shared_path(spark, "llm", name)
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
@@ -182,7 +181,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     id reachable.  Alternating large-star and small-star rounds; every round
     is joins and partial aggregates, so a node with very many edges is split."""
     e = save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -193,9 +191,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         new = save(small, "cc")
         drop(e, large)
-        now = new.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum((F.xxhash64("u", "v") / 4096).cast("long"))).first()
         e = new
-        if now == before:
+        # done when every node has one edge, and it leads to a root
+        two = e.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a < b").select("u")
+        inner = e.select(F.col("v").alias("u")).distinct().join(e.select("u").distinct(), "u", "left_semi")
+        if not two.unionByName(inner).take(1):
             return e.select(F.col("u").alias("id"), F.col("v").alias("root")) \
                 .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
-        before = now

@@ -19,7 +19,9 @@ join is exact and never compares all pairs:
     pivot p and, by the triangle inequality, is copied to that of q when
     d(x,q) <= d(x,p) + 2e.  Documents further than 3e from all pivots stay in a
     remainder, to which those beyond 2e are copied.  Regions are joined
-    recursively, until all of a region's documents are in one component.
+    recursively, until all of a region's documents are in one component or
+    those in different ones make at most ``LEAF`` pairs a document; these
+    pairs are compared directly.
 
 Every step is a shuffle join or a partial aggregate.  Shingles are 64-bit
 hashes; all other arithmetic is in integers.
@@ -38,6 +40,7 @@ WORDS = 5
 PERCENT = 80
 SLICE_BYTES = 2 << 20
 BLOCK_DOCS = 16_384
+LEAF = 256                  # pairs of different components, per point of a region, that are compared directly
 
 
 def least_overlap(n: Column, percent: int = PERCENT) -> Column:
@@ -212,20 +215,33 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
     edges, labels, known, level = None, None, None, 0
     while True:
         # regions that hold more than one component; equal ones once
-        state = rows.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"),
-                                           F.sum(F.xxhash64("doc_id") % (1 << 40)).alias("k1"), F.sum(F.xxhash64("doc_id", F.lit(1)) % (1 << 40)).alias("k2")) \
-            .where("lo < hi")
-        open_ = state.groupBy("m", "k1", "k2").agg(F.min("region").alias("region")).select("region")
+        parts = rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("doc_id") % (1 << 40)).alias("k1"),
+                                                    F.sum(F.xxhash64("doc_id", F.lit(1)) % (1 << 40)).alias("k2"))
+        state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("labels"), F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"),
+                                            F.max(F.struct("c", "label"))["label"].alias("major"), F.sum("k1").alias("k1"), F.sum("k2").alias("k2")) \
+            .where("labels > 1")
+        # the first level has a pivot in every region; later those with few open pairs are compared directly
+        direct = (F.col("m") * F.col("m") - F.col("same") <= 2 * LEAF * F.col("m")) if level else F.lit(False)
+        open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", "major", direct.alias("direct"))).alias("r")).select("r.*")
         active = save(rows.join(open_, "region"), "regions")
         drop(rows)
         rows = active
         if not rows.take(1):
             break
+        large = rows.where(~F.col("direct"))
         fan = 1 << min(level, 20)                # more pivots in later rounds: few rounds also in regions of strangers
-        order = F.struct("rank", F.col("doc_id").alias("p"), F.col("n").alias("pn"))
-        pivots = rows.groupBy("region", (F.xxhash64("doc_id", F.lit(level)) % fan).alias("part")).agg(F.min(order).alias("o")).select("region", "o.p", "o.pn")
-        pairs = rows.join(pivots, "region").where("doc_id <> p")
-        new = pairs.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
+        order = F.struct("rank", F.col("doc_id").alias("p"))
+        pivots = large.groupBy("region", (F.xxhash64("doc_id", F.lit(level)) % fan).alias("part")).agg(F.min(order).alias("o")).select("region", "o.p")
+        to_pivot = large.join(pivots, "region").where("doc_id <> p")
+        new = to_pivot.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
+        if level:
+            # every open pair has a document outside the region's largest component
+            small = rows.where("direct")
+            other = small.select("region", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
+            new = new.unionByName(small.where("label <> major").withColumnRenamed("doc_id", "a").join(other, "region")
+                                  .where((F.col("label") != F.col("label_b")) & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent))
+                                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        new = new.distinct()
         if known is not None:
             new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
         found = save(distances(new, points, k), "distances")
@@ -234,7 +250,7 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
         edges = save(links if edges is None else edges.unionByName(links), "links")
         labels = save(connected_components(edges), "labels")
         d = known.select("a", "b", (1 - F.col("common") / F.col("whole")).alias("d"))
-        near = pairs.withColumn("a", F.least("doc_id", "p")).withColumn("b", F.greatest("doc_id", "p")).join(d, ["a", "b"]) \
+        near = to_pivot.withColumn("a", F.least("doc_id", "p")).withColumn("b", F.greatest("doc_id", "p")).join(d, ["a", "b"]) \
             .select("region", "doc_id", "n", "rank", "p", "d")
         rows = save(_next_regions(near, pivots, e, level).join(labels.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
                     .select("region", "doc_id", "n", "rank", F.coalesce("root", "doc_id").alias("label")), "regions")

@@ -178,3 +178,21 @@ def test_hadamard_keeps_angles():
     x = np.random.default_rng(1).normal(size=(5, 16))
     y = neardup.hadamard(x) / 4
     assert np.allclose(x @ x.T, y @ y.T)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_any_graph(spark, seed):
+    from pricecraft.llm.common import connected_components
+    rnd = random.Random(seed)
+    edges = [(rnd.randrange(80), rnd.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(20)] + [(200, 200 + i) for i in range(1, 30)] + [(7, 7)]
+    root = list(range(300))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in edges:
+        p, q = find(a), find(b)
+        root[max(p, q)] = min(p, q)
+    got = {r.id: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for e in edges if e[0] != e[1] for i in e}
