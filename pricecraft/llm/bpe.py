@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_store
+from .common import text_chunks, worker_store
 
-MEMO_WORDS = 400_000        # words a worker remembers (a cache: results do not depend on it)
+SLICE_BYTES = 4 << 20      # text handled at a time
+MEMO_WORDS = 250_000        # words a worker remembers (a cache: results do not depend on it)
 LONG_WORD = 128             # bytes from which merges are kept in a heap
 
 
@@ -168,7 +169,7 @@ def encode_bpe(docs: DataFrame, rank_file: str, pattern: str, text: str = "text"
             store.update(words=words, chunks=ChunkIds(words, regex.compile(pattern)))
         words, chunks = store["words"], store["chunks"]
         get = chunks.__getitem__
-        for b in batches:
+        for b in (part for batch in batches for part in text_chunks(batch, SLICE_BYTES, column="_text")):
             ids = []
             for t in b.column(b.num_columns - 1):
                 t = t.as_py()
