@@ -37,7 +37,7 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY
     file = read_tokenizer(docs, tokenizer_file)
 
     def run(batches):
-        for part, ids in encode_batches(batches, file.value, end_id):
+        for part, ids in encode_batches(batches, file.value, end_id, by_ranks=True):
             doc, piece, start, length, out = [], [], [], [], []
             for d, x in zip(part.column(0).to_pylist(), ids):
                 n = len(x) // 4

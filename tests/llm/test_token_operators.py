@@ -1,6 +1,7 @@
 """BPE, packing and token files against the tokenizer libraries and brute force."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -64,6 +65,7 @@ def test_cuts_keep_ids(text):
     words = _words()
     assert b"".join(bpe.ChunkIds(words, _pattern())[c] for c in bpe.chunk_keys(text)) == u32(enc.encode_ordinary(text))
     assert tokens_encoder().encode([text])[0] == u32(enc.encode_ordinary(text))
+    assert u32(tokens_encoder().tok.encode(text, add_special_tokens=False).ids) == u32(enc.encode_ordinary(text)) == rank_encoder().encode([text])[0]
 
 
 _CACHE = {}
@@ -93,6 +95,30 @@ def tokens_encoder():
     return _CACHE["hf"]
 
 
+def rank_encoder():
+    if "ranks-json" not in _CACHE:
+        with open(JSON, encoding="utf-8") as f:
+            _CACHE["ranks-json"] = tokens.RankEncoder(tokens.merge_ranks(f.read()))
+    return _CACHE["ranks-json"]
+
+
+def test_only_plain_files_give_ranks():
+    with open(JSON, encoding="utf-8") as f:
+        plain = f.read()
+    assert len(tokens.merge_ranks(plain)) == 50_256
+    j = json.loads(plain)
+    j["model"]["merges"][5], j["model"]["merges"][9] = j["model"]["merges"][9], j["model"]["merges"][5]
+    assert tokens.merge_ranks(json.dumps(j)) is None
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        assert tokens.merge_ranks(f.read()) is None
+
+
+def test_both_encoders_on_the_table(spark, hf):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    want = [u32(hf(t)) for t in texts]
+    assert rank_encoder().encode(texts) == want and tokens_encoder().encode(texts) == want
+
+
 def test_long_words_fold_alike(enc):
     with open(RANKS, "rb") as f:
         ranks = bpe.load_ranks(f.read())
