@@ -21,7 +21,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -165,26 +165,36 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int = 0, tex
                                               "n_tokens array<long>, data binary"), "token-files")
 
 
-def read_token_files(files: DataFrame) -> DataFrame:
+def read_token_files(files: DataFrame, derive: dict[str, Column] | None = None) -> DataFrame:
     """One row per document: doc_id, start long (ids of all documents before
-    it), n_tokens long, ids binary (little-endian unsigned 32-bit)."""
+    it), n_tokens long, ids binary (little-endian unsigned 32-bit).
+
+    With ``derive``, its columns of ``ids`` stand in place of ``ids``; they
+    are computed before the starts are joined, so the ids are not shuffled.
+    """
     sizes = files.select("part", "segment", "n_ids")
     inside = W.partitionBy("part").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))            # one row per file part
     before = parts.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)),
                                              F.lit(0)).alias("before"))
     start = sizes.withColumn("inside", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(before, "part") \
-        .select("part", "segment", (F.col("before") + F.col("inside")).alias("start"))
-    src = files.join(start, ["part", "segment"]).select("start", "doc_ids", "n_tokens", "data")
+        .select("part", "segment", (F.col("before") + F.col("inside")).alias("first"))
 
     def read(batches):
         for b in batches:
-            for at, docs, n, data in zip(*(b.column(i) for i in range(4))):
+            for part, segment, docs, n, data in zip(*(b.column(i) for i in range(5))):
                 ids = unpack_segment(data.as_py()).astype("<u4").tobytes()
                 n = np.array(n.as_py(), np.int64)
                 ends = np.cumsum(n)
                 out = [ids[4 * (e - k):4 * e] for e, k in zip(ends.tolist(), n.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(docs.as_py(), pa.int64()), pa.array(at.as_py() + ends - n), pa.array(n),
-                                                  pa.array(out, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
-
-    return src.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.as_py()] * len(n), pa.int32()), pa.array([segment.as_py()] * len(n), pa.int32()),
+                     pa.array(docs.as_py(), pa.int64()), pa.array(ends - n), pa.array(n), pa.array(out, pa.binary())],
+                    names=["part", "segment", "doc_id", "inside", "n_tokens", "ids"])
+
+    rows = files.select("part", "segment", "doc_ids", "n_tokens", "data") \
+        .mapInArrow(read, "part int, segment int, doc_id long, inside long, n_tokens long, ids binary")
+    own = ["ids"] if derive is None else [c.alias(name) for name, c in derive.items()]
+    rows = rows.select("part", "segment", "doc_id", "inside", "n_tokens", *own)
+    names = ["ids"] if derive is None else list(derive)
+    return rows.join(start, ["part", "segment"]).select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", *names)
