@@ -38,10 +38,12 @@ class Condition:
     measure: str
     above: bool
     threshold: float
+    cut: int = 0            # which of the measure's thresholds it is
 
-    def column(self) -> Column:
-        c = F.col(self.measure)
-        return c > F.lit(self.threshold) if self.above else c <= F.lit(self.threshold)
+    def column(self, intervals: bool = False) -> Column:
+        """On the measure itself, or on the number of its interval."""
+        c, t = F.col(self.measure), F.lit(self.cut if intervals else self.threshold)
+        return c > t if self.above else c <= t
 
     def __str__(self) -> str:
         return f"{self.measure} {'>' if self.above else '<='} {self.threshold:g}"
@@ -50,13 +52,24 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
-def all_of(rule: Rule) -> Column:
+def all_of(rule: Rule, intervals: bool = False) -> Column:
     out = F.lit(True)
     for c in rule:
-        out = out & c.column()
+        out = out & c.column(intervals)
     return out
 
 
+def interval(c: Column, cuts: list[float]) -> Column:
+    """How many of the rising cuts are less than c (a binary search)."""
+
+    def place(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c <= F.lit(cuts[mid]), place(lo, mid)).otherwise(place(mid + 1, hi))
+    return place(0, len(cuts))
+
+
 def thresholds(rows: DataFrame, measures: list[str]) -> dict[str, list[float]]:
     """Distinct quantiles of each measure (approximate, bounded state)."""
     points = [i / THRESHOLDS for i in range(THRESHOLDS + 1)]
@@ -64,14 +77,12 @@ def thresholds(rows: DataFrame, measures: list[str]) -> dict[str, list[float]]:
     return {m: sorted(set(got[m] or [])) for m in measures}
 
 
-def _tally(rows: DataFrame, rule: Rule, cuts: dict[str, list[float]]) -> dict[str, list[tuple[int, int, int]]]:
+def _tally(rows: DataFrame, rule: Rule, measures: list[str]) -> dict[str, list[tuple[int, int, int]]]:
     """Per measure (interval, bad, good) of the rows that the rule covers;
-    interval i holds values above the i-th threshold."""
-    covered = rows.where(all_of(rule))
-    place = [F.struct(F.lit(m).alias("m"), sum((F.when(F.col(m) > F.lit(c), 1).otherwise(0) for c in cs), F.lit(0)).alias("i"))
-             for m, cs in cuts.items() if cs]
+    interval i is above i of the thresholds."""
+    place = [F.struct(F.lit(m).alias("m"), F.col(m).alias("i")) for m in measures]
     out: dict[str, list[tuple[int, int, int]]] = {}
-    for r in covered.select("bad", F.explode(F.array(*place)).alias("x")).groupBy("x.m", "x.i") \
+    for r in rows.where(all_of(rule, True)).select("bad", F.explode(F.array(*place)).alias("x")).groupBy("x.m", "x.i") \
             .agg(F.sum("bad").alias("b"), F.count(F.lit(1)).alias("n")).collect():
         out.setdefault(r["m"], []).append((r["i"], int(r["b"]), int(r["n"] - r["b"])))
     return out
@@ -93,7 +104,7 @@ def best_condition(tally: dict[str, list[tuple[int, int, int]]], cuts: dict[str,
                 if b and b + g < bad + good:
                     gain = b * (log2(b / (b + g)) - was)
                     if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
-                        best = gain, Condition(m, above, cut)
+                        best = gain, Condition(m, above, cut, k)
     return best
 
 
@@ -111,14 +122,20 @@ def learn_rules(stats: DataFrame, labels: DataFrame, max_labels: int = MAX_LABEL
     rows = save(stats.dropDuplicates(["doc_id"]).select("doc_id", *(c.cast("double").alias(m) for m, c in measures.items())).join(lab, "doc_id")
                 .select(*measures, (F.col("quality") <= 0).cast("int").alias("bad"),
                         (F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(3)) == 0).alias("prune")), "quality-labels")
-    cuts = thresholds(rows, list(measures))
+    cuts = {m: c for m, c in thresholds(rows, list(measures)).items() if c}
+    if not cuts:
+        drop(rows)
+        return []
+    numbered = save(rows.select("bad", "prune", *(interval(F.col(m), c).alias(m) for m, c in cuts.items())), "quality-intervals")
+    drop(rows)
+    rows = numbered
     rules: list[Rule] = []
     left = F.lit(True)
     while len(rules) < MAX_RULES:
         grow = rows.where(left & ~F.col("prune"))
         rule: Rule = ()
         while len(rule) < MAX_CONDITIONS:
-            tally = _tally(grow, rule, cuts)
+            tally = _tally(grow, rule, list(cuts))
             if not tally or not any(g for _, _, g in next(iter(tally.values()))):
                 break
             found = best_condition(tally, cuts)
@@ -131,7 +148,7 @@ def learn_rules(stats: DataFrame, labels: DataFrame, max_labels: int = MAX_LABEL
         if bad < MIN_COVERED or bad < MIN_PRECISION * (bad + good):
             break
         rules.append(rule)
-        left = left & ~all_of(rule)
+        left = left & ~all_of(rule, True)
     drop(rows)
     return rules
 
@@ -141,7 +158,7 @@ def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
     on these rows, the shortest among equals, and what it covers."""
     sums = []
     for k in range(1, len(rule) + 1):
-        c = all_of(rule[:k])
+        c = all_of(rule[:k], True)
         sums += [F.coalesce(F.sum(F.when(c, F.col("bad"))), F.lit(0)).alias(f"b{k}"),
                  F.coalesce(F.sum(F.when(c, 1 - F.col("bad"))), F.lit(0)).alias(f"g{k}")]
     got = rows.agg(*sums).first()
