@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType
 
 from ..functions.binning import AGE_LABELS, KM_LABELS, POWER_LABELS, REG_YEAR_LABELS, TIER_LABELS
 from ..functions.dates import QUARTER_SEASONS
@@ -186,15 +187,18 @@ def ordered_target_stats(df: DataFrame, col: str, target: str, key: str,
     """
     out = out or f"{col}_ots"
     prior = prior if prior is not None else global_mean(df, target)
+    # a decimal target is summed exactly, in any order
+    kind = df.schema[target].dataType if isinstance(df.schema[target].dataType, DecimalType) else DoubleType()
+    y = F.col(target).cast(kind)
     base = df.withColumns({
         "_ots_c": F.coalesce(F.col(col).cast("string"), F.lit(missing)),
         "_ots_h": md5_order(F.col(key)),
         "_ots_n": F.when(F.col(target).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long"),
-        "_ots_y": F.coalesce(F.col(target).cast("double"), F.lit(0.0)),
+        "_ots_y": F.coalesce(y, F.lit(0).cast(kind)),
     })
     ps = prefix_sums(base, ["_ots_c"], ["_ots_h", key], ["_ots_n", "_ots_y"], hash_segment(F.col("_ots_h")))
     a = F.lit(float(prior_weight))
-    enc = (F.col("_ots_y_before") + a * prior) / (F.col("_ots_n_before") + a)
+    enc = (F.col("_ots_y_before").cast("double") + a * prior) / (F.col("_ots_n_before") + a)
     return ps.withColumn(out, enc).drop("_ots_c", "_ots_h", "_ots_n", "_ots_y",
                                         "_ots_n_before", "_ots_y_before")
 

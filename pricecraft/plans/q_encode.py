@@ -161,14 +161,16 @@ def q_cast_category_str(spark, sf):
 
 @register("ordered_target_stats", """
 SELECT sale_key, body_type,
-  (coalesce(sum(price) OVER w, 0) + (SELECT avg(price) FROM train)) / (coalesce(count(price) OVER w, 0) + 1.0) AS body_type_ots
-FROM train
+  (CAST(coalesce(sum(p) OVER w, 0) AS DOUBLE) + (SELECT CAST(sum(CAST(price AS DECIMAL(18, 2))) AS DOUBLE) / count(price) FROM train))
+  / (coalesce(count(p) OVER w, 0) + CAST(1 AS DOUBLE)) AS body_type_ots
+FROM (SELECT *, CAST(price AS DECIMAL(18, 2)) AS p FROM train)
 WINDOW w AS (PARTITION BY coalesce(body_type, 'missing')
              ORDER BY ('0x' || substr(md5(sale_key), 1, 8))::BIGINT, sale_key
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", rounds={"body_type_ots": 6})
 def q_ordered_target_stats(spark, sf):
-    d = TRAIN(spark, sf).select("sale_key", "body_type", "price")
-    out = E.ordered_target_stats(d, "body_type", "price", "sale_key")
+    d = TRAIN(spark, sf).select("sale_key", "body_type", F.col("price").cast("decimal(18,2)").alias("price"))
+    mean = d.agg(F.sum("price").cast("double") / F.count("price")).scalar()
+    out = E.ordered_target_stats(d, "body_type", "price", "sale_key", prior=mean)
     return out.select("sale_key", "body_type", "body_type_ots")
 
 
