@@ -17,7 +17,7 @@ join is exact and never compares all pairs:
 4.  Inside a region documents are pivots.  With the exact distances to the
     region's new pivots, every document goes to the region of its nearest
     pivot p and, by the triangle inequality, is copied to that of q when
-    d(x,q) <= d(x,p) + 2e.  Documents further than 3e from all pivots stay in a
+    d(x,q) <= d(x,p) + 2e (pivots close to each other share a region).  Documents further than 3e from all pivots stay in a
     remainder, to which those beyond 2e are copied.  Regions are joined
     recursively, until all of a region's documents are in one component or
     those in different ones make at most ``LEAF`` pairs a document; these
@@ -38,7 +38,7 @@ from .common import connected_components, drop, mix64, partitions, save, shingle
 
 WORDS = 5
 PERCENT = 80
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BLOCK_DOCS = 16_384
 LEAF = 256                  # pairs of different components, per point of a region, that are compared directly
 
@@ -79,7 +79,7 @@ def shared_counts(docs: DataFrame, buckets: int, k: int = WORDS) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for b in (p for s in batch_slices(batch) for p in text_chunks(s, 16 * SLICE_BYTES, BLOCK_DOCS)):
+            for b in (p for s in batch_slices(batch) for p in text_chunks(s, 8 * SLICE_BYTES, BLOCK_DOCS)):
                 hs, ds = [], []
                 at = 0
                 for part in text_chunks(b, SLICE_BYTES):
@@ -221,7 +221,7 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
                                             F.max(F.struct("c", "label"))["label"].alias("major"), F.sum("k1").alias("k1"), F.sum("k2").alias("k2")) \
             .where("labels > 1")
         # the first level has a pivot in every region; later those with few open pairs are compared directly
-        direct = (F.col("m") * F.col("m") - F.col("same") <= 2 * LEAF * F.col("m")) if level else F.lit(False)
+        direct = F.lit(False) if level == 0 else F.col("m") * F.col("m") - F.col("same") <= 2 * LEAF * F.col("m")
         open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", "major", direct.alias("direct"))).alias("r")).select("r.*")
         active = save(rows.join(open_, "region"), "regions")
         drop(rows)
@@ -265,11 +265,15 @@ def _next_regions(near: DataFrame, pivots: DataFrame, e: float, level: int) -> D
     of all documents but the pivots themselves, which are done.  ``slack``
     keeps rounding from losing a copy."""
     slack = 1e-9
+    # pivots within 4e of each other share a cell: their windows overlap, and copies would only repeat each other
+    close = near.join(pivots.select("region", F.col("p").alias("doc_id")), ["region", "doc_id"]).where(F.col("d") <= 4 * e) \
+        .groupBy("region", F.col("doc_id").alias("q")).agg(F.min("p").alias("first"))
+    cells = pivots.join(close.withColumnRenamed("q", "p"), ["region", "p"], "left").select("region", "p", F.least("p", "first").alias("cell"))
     best = near.groupBy("region", "doc_id").agg(F.min("d").alias("dmin"))
     done = pivots.select("region", F.col("p").alias("doc_id"))
     x = near.join(best, ["region", "doc_id"]).join(done, ["region", "doc_id"], "left_anti")
-    inside = x.where((F.col("dmin") < 3 * e) & (F.col("d") <= F.col("dmin") + 2 * e + slack)) \
-        .select(F.xxhash64("region", "p", F.lit(level)).alias("region"), "doc_id", "n", "rank")
+    inside = x.where((F.col("dmin") < 3 * e) & (F.col("d") <= F.col("dmin") + 2 * e + slack)).join(cells, ["region", "p"]) \
+        .select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), "doc_id", "n", "rank").distinct()
     outside = x.where(F.col("dmin") >= 2 * e - slack).select(F.xxhash64("region", F.lit(-1), F.lit(level)).alias("region"), "doc_id", "n", "rank").distinct()
     return inside.unionByName(outside)
 
