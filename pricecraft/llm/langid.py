@@ -19,8 +19,9 @@ from .common import crc_mod, text_chunks, worker_store
 DIM = 1024
 SEED = 9
 MEMO_TRIGRAMS = 30_000
-BLOCK_TRIGRAMS = 8_192
-SLICE_DOCS = 512
+BLOCK_TRIGRAMS = 4_096
+SLICE_DOCS = 256
+SLICE_BYTES = 1 << 20
 UND = "und"
 
 
@@ -121,7 +122,7 @@ def learn_prototypes(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
         b_ = bundler(dim)
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in text_chunks(batch, 2 << 20, SLICE_DOCS):
+            for part in text_chunks(batch, SLICE_BYTES, SLICE_DOCS):
                 langs = part.column(0).to_pylist()
                 tris, index, ptr = b_.trigrams(part.column(1).to_pylist())
                 if not len(index):
@@ -160,7 +161,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
     def run(batches):
         b_ = bundler(dim)
         for batch in batches:
-            for part in text_chunks(batch, 2 << 20, SLICE_DOCS, "_text"):
+            for part in text_chunks(batch, SLICE_BYTES, SLICE_DOCS, "_text"):
                 tris, index, ptr = b_.trigrams(part.column(part.num_columns - 1).to_pylist())
                 n = part.num_rows
                 empty = ptr[1:] == ptr[:-1]

@@ -130,7 +130,7 @@ def encoder(tokenizer_json: str, by_ranks: bool = False) -> Encoder | RankEncode
     return store["encoder"]
 
 
-def encode_batches(batches, tokenizer_json: str, end_id: int | None, max_bytes: int = 4 << 20, by_ranks: bool = False):
+def encode_batches(batches, tokenizer_json: str, end_id: int | None, max_bytes: int = 2 << 20, by_ranks: bool = False):
     """(slice of the batch, ids of its texts with the end id) in order; the
     text is the last column."""
     enc = encoder(tokenizer_json, by_ranks)
