@@ -1,10 +1,10 @@
 """Toxicity by compression distance (operator 7).
 
 Two zstandard dictionaries are trained, on ordinary and on toxic text.  They
-share the ordinary segments; the toxic one also holds the words that
-significantly many toxic texts of the sample have and its ordinary texts lack,
-the most frequent last (nearest, so cheapest to refer to), the other as many
-more ordinary segments.  A text is cut into windows of ``WINDOW`` words; how much
+share the ordinary segments; the toxic one also holds every word whose share of
+the sampled toxic texts is larger than its share of the ordinary ones by more
+than chance (``EVIDENCE``; near copies of a text count once), the strongest last
+(nearest, so cheapest to refer to), the other as many more ordinary segments.  A text is cut into windows of ``WINDOW`` words; how much
 shorter a window gets with the toxic dictionary is its gain.  The gains above
 thresholds, their rate and the greatest one are calibrated to a probability
 by a logistic fit on training rows that the dictionaries have not seen.
@@ -16,6 +16,9 @@ reads every whole text.  Language, source and id are no inputs.
 from __future__ import annotations
 
 import hashlib
+import sys
+import unicodedata
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +33,11 @@ LEVEL = 9
 BASE_BYTES = 8192
 TAIL_BYTES = 1024
 THRESHOLD = 0.3
-MIN_TEXTS, MIN_SHARE = 4, 0.005     # a toxic word occurs in so many toxic texts, none of them by chance
+MIN_TEXTS, EVIDENCE = 4, 20.0       # a term has so many toxic texts and this G statistic (chance: 4 in a million), whatever the sample's size
+PHRASE = 1
+FAR = 9
+FLUSH_TERMS = 400_000
+EDGES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PS")
 GAINS = (2, 3, 4)
 
 
@@ -42,7 +49,6 @@ class Bounds:
     ordinary_texts: int = 16_000
     calibration_texts: int = 16_000
     windows: int = 100_000
-    words: int = 400
 
 
 @dataclass
@@ -60,14 +66,91 @@ def text_windows(text: str | None) -> list[bytes]:
     return [b" " + b" ".join(w[i:i + WINDOW]) + b" " for i in range(0, len(w), WINDOW)]
 
 
-def train(samples: list[bytes], size: int) -> bytes:
+def bare_words(text: str | None) -> list[str]:
+    """The words of ``text_windows`` without punctuation at their ends; '' for one of more than 100 letters."""
+    words = (w.decode() for w in (text or "").encode().lower().split())
+    return ["" if len(w) > 100 else w if w.isalnum() else w.strip(EDGES) for w in words]
+
+
+def terms(words: list[str]):
+    """(term, first word, end) of every run of up to PHRASE words in one window."""
+    for i in range(len(words)):
+        for n in range(1, min(PHRASE, WINDOW - i % WINDOW, len(words) - i) + 1):
+            if not words[i + n - 1]:
+                break
+            yield " ".join(words[i:i + n]), i, i + n
+
+
+def text_terms(text: str | None) -> dict[str, int]:
+    """The text's terms, each with a hash of the words FAR around where it is first."""
+    words = bare_words(text)
+    first = {}
+    for x, a, z in terms(words):
+        if x not in first:
+            first[x] = zlib.crc32(f"{words[max(a - FAR, 0)]} {words[min(z + FAR, len(words)) - 1]}".encode())
+    return first
+
+
+def count_terms(texts: DataFrame, wanted: set[str] | None = None) -> DataFrame:
+    """(term, n): how many of the texts (one column, ``text``) have each term,
+    or each of those wanted.  Texts with the same words FAR around the term
+    are copies and count once.  Tasks merge their rows before the shuffle."""
+    sent = None if wanted is None else texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        found = set()
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64())], names=["term", "around"])
+        for batch in batches:
+            for part in text_chunks(batch, 4 << 20):
+                for t in part.column(0).to_pylist():
+                    found.update((x, c) for x, c in text_terms(t).items() if sent is None or x in sent.value)
+                    if len(found) > FLUSH_TERMS:
+                        yield rows()
+                        found.clear()
+        yield rows()
+
+    return texts.select("text").mapInArrow(run, "term string, around long").distinct().groupBy("term").agg(F.count("*").alias("n"))
+
+
+def select_terms(toxic: DataFrame, ordinary: DataFrame) -> list[str]:
+    """The terms that toxic texts have more often than ordinary ones by more
+    than chance, the strongest last.  A phrase counts only where its smoothed
+    likelihood ratio exceeds that of all its parts."""
+    n_t, n_o = toxic.count(), ordinary.count()
+    if not n_t or not n_o:
+        return []
+    share = n_t / (n_t + n_o)
+    least = max(MIN_TEXTS, EVIDENCE / (-2 * np.log(share)))      # fewer are too few even if no ordinary text has the term
+
+    def fetch(counts):
+        got = counts.toArrow()
+        return dict(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    t = fetch(count_terms(toxic).where(F.col("n") >= float(least)))
+    o = fetch(count_terms(ordinary, set(t)))
+
+    def evidence(x):
+        a, b = t[x], o.get(x, 0)
+        e = (a + b) * share
+        return 2 * (a * np.log(a / e) + (b * np.log(b / (a + b - e)) if b else 0)) if a > e else 0.0
+    ratio = {x: (a + 0.5) / (n_t + 1) * (n_o + 1) / (o.get(x, 0) + 0.5) for x, a in t.items()}
+
+    def adds(x):
+        w = x.split(" ")
+        return all(ratio[x] > ratio.get(" ".join(w[i:i + n]), 0.0) for n in range(1, len(w)) for i in range(len(w) - n + 1))
+    strong = {x: e for x in t if (e := evidence(x)) >= EVIDENCE and adds(x)}
+    return sorted(strong, key=lambda x: (strong[x], x))
+
+
+def train(samples: list[bytes], size: int, k: int = 48, d: int = 6) -> bytes:
     """A zstandard dictionary's bytes; the samples themselves where they are
     too few to train one."""
     import zstandard
     total = sum(map(len, samples))
     if total > 4 * size and len(samples) >= 16:
         try:
-            return zstandard.train_dictionary(size, samples, d=6, k=16 if size <= TAIL_BYTES else 48).as_bytes()
+            return zstandard.train_dictionary(size, samples, d=d, k=k).as_bytes()
         except zstandard.ZstdError:
             pass
     return b"".join(samples)[-size:]
@@ -124,25 +207,20 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary: Column, calibration: Col
                   .join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL"), "toxicity-sample")       # bounded rows
     train_rows = sample.where("use = 'd'")
 
-    ascii_lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = train_rows.select("doc_id", "toxic", F.explode(F.split(ascii_lower, r"[\x20\x09-\x0D]+")).alias("w")) \
-        .select("doc_id", "toxic", F.regexp_replace("w", r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", "").alias("w")).where("length(w) BETWEEN 1 AND 100").distinct()
-    n_toxic = train_rows.where("toxic = 1").count()
-    strong = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")) \
-        .where((F.col("t") >= max(MIN_TEXTS, MIN_SHARE * n_toxic)) & (F.col("o") == 0)).orderBy(F.desc("t"), "w").limit(bounds.words).collect()
+    toxic, plain_texts = (train_rows.where(F.col("toxic") == v).select("text") for v in (1, 0))
+    strong = select_terms(toxic, plain_texts)
 
     def cut(batches):
         for batch in batches:
             for part in text_chunks(batch, 4 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array([w for t in part.column(0).to_pylist() for w in text_windows(t)], pa.binary())], names=["w"])
 
-    cuts = train_rows.where("toxic = 0").select("text").mapInArrow(cut, "w binary").where(F.octet_length("w") < 4096)
+    cuts = plain_texts.mapInArrow(cut, "w binary").where(F.octet_length("w") < 4096)
     ordinary = [bytes(r[0]) for r in cuts.orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()]
 
-    special = b" " + b" ".join(r["w"].encode() for r in reversed(strong)) + b" "
+    tail = b"".join(b" " + x.encode() for x in strong) + b" "
     half = len(ordinary) // 2
-    base, plain = train(ordinary[:half], BASE_BYTES)[-BASE_BYTES:], train(ordinary[half:], TAIL_BYTES)
-    tail = special[-TAIL_BYTES:]
+    base, plain = train(ordinary[:half], BASE_BYTES)[-BASE_BYTES:], train(ordinary[half:], max(len(tail), TAIL_BYTES), k=16)
     model = Model(ordinary=plain[-len(tail):] + base, toxic=tail + base)
 
     cal = _gain_features(sample.where("use = 'c'"), model.ordinary, model.toxic).join(chosen.where("use = 'c'"), "doc_id") \

@@ -186,3 +186,49 @@ def test_windows_hold_every_word(text):
 @pytest.mark.parametrize("content", [b"", b"abc", b"some words of a dictionary " * 50])
 def test_any_dictionary_compresses(content):
     assert len(toxicity.compressor(content)(b" some words of a text ")) > 0
+
+
+def mixed_texts(marks, quoting):
+    """2,400 texts of common words; every fourth is toxic and has six of the
+    marks, ``quoting`` ordinary ones have them all."""
+    rnd = random.Random(5)
+    common = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 8))) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(2400):
+        toxic = int(i % 4 == 0)
+        body = rnd.choices(common, k=60)
+        for m in rnd.sample(marks, 6) if toxic else marks if i % 4 == 1 and i // 4 < quoting else []:
+            body.insert(rnd.randrange(len(body)), m)
+        rows.append((i, " ".join(body)))
+        labels.append((i, toxic))
+    return rows, labels
+
+
+def held_out_rates(spark, rows, labels):
+    """(recall, false positives) at the threshold."""
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score_held_out(frame(spark, rows), lab).where("held_out").collect()}
+    y = dict(labels)
+    return (np.mean([p for i, p in got.items() if y[i] == v]) for v in (1, 0))
+
+
+def test_quoted_toxic_words_still_count(spark):
+    marks = [f"zu{c}qw{d}" for c in "rstvx" for d in "yz"]
+    recall, wrong = held_out_rates(spark, *mixed_texts(marks, quoting=24))
+    assert recall >= 0.9 and wrong <= 0.1
+
+
+def test_recall_on_the_table(spark):
+    d = "/root/testdata/sf0.1"
+    lab = spark.read.parquet(f"{d}/labels.parquet")
+    r = toxicity.score_held_out(spark.read.parquet(f"{d}/documents.parquet"), lab).join(lab, "doc_id").where("held_out AND toxic = 1").collect()
+    assert np.mean([x.score >= 0.3 for x in r]) >= 0.6
+
+
+def test_dictionary_holds_every_selected_term(spark):
+    rnd = random.Random(6)
+    marks = ["".join(rnd.choice("uvwxyz") for _ in range(12)) for _ in range(150)]
+    rows, labels = mixed_texts(marks, quoting=0)
+    docs, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, lab, F.col("doc_id") % 8 < 6, F.col("doc_id") % 8 >= 6)
+    assert all(m.encode() in model.toxic for m in marks)
