@@ -1,10 +1,12 @@
 """Toxicity by compression distance (operator 7).
 
 Two zstandard dictionaries are trained, on ordinary and on toxic text.  They
-share the ordinary segments; the toxic one also holds every word whose share of
-the sampled toxic texts is larger than its share of the ordinary ones by more
-than chance (``EVIDENCE``; near copies of a text count once), the strongest last
-(nearest, so cheapest to refer to), the other as many more ordinary segments.  A text is cut into windows of ``WINDOW`` words; how much
+share the ordinary segments.  The toxic one also holds segments trained on
+what toxic windows are made of: their runs of terms (words and phrases) that a
+larger share of the sampled toxic texts has than of the ordinary ones, by more
+than chance (``EVIDENCE``; near copies of a text count once).  Terms that
+training left out are put before them.  The other one holds as many more
+ordinary segments.  A text is cut into windows of ``WINDOW`` words; how much
 shorter a window gets with the toxic dictionary is its gain.  The gains above
 thresholds, their rate and the greatest one are calibrated to a probability
 by a logistic fit on training rows that the dictionaries have not seen.
@@ -34,7 +36,7 @@ BASE_BYTES = 8192
 TAIL_BYTES = 1024
 THRESHOLD = 0.3
 MIN_TEXTS, EVIDENCE = 4, 20.0       # a term has so many toxic texts and this G statistic (chance: 4 in a million), whatever the sample's size
-PHRASE = 1
+PHRASE = 3                          # words of a term, at most
 FAR = 9
 FLUSH_TERMS = 400_000
 EDGES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PS")
@@ -143,6 +145,33 @@ def select_terms(toxic: DataFrame, ordinary: DataFrame) -> list[str]:
     return sorted(strong, key=lambda x: (strong[x], x))
 
 
+def toxic_runs(texts: DataFrame, strong: list[str]) -> DataFrame:
+    """(w binary): the windows' longest runs of words of the strong terms, framed by spaces."""
+    sent = texts.sparkSession.sparkContext.broadcast(set(strong))
+
+    def runs(text):
+        words = bare_words(text)
+        marked = [False] * len(words)
+        for x, a, z in terms(words):
+            if x in sent.value:
+                marked[a:z] = [True] * (z - a)
+        for i in range(0, len(words), WINDOW):
+            run = []
+            for x, m in [*zip(words[i:i + WINDOW], marked[i:i + WINDOW]), ("", False)]:
+                if m:
+                    run.append(x)
+                elif run:
+                    yield (" " + " ".join(run) + " ").encode()
+                    run = []
+
+    def cut(batches):
+        for batch in batches:
+            for part in text_chunks(batch, 4 << 20):
+                yield pa.RecordBatch.from_arrays([pa.array([r for t in part.column(0).to_pylist() for r in runs(t)], pa.binary())], names=["w"])
+
+    return texts.mapInArrow(cut, "w binary")
+
+
 def train(samples: list[bytes], size: int, k: int = 48, d: int = 6) -> bytes:
     """A zstandard dictionary's bytes; the samples themselves where they are
     too few to train one."""
@@ -218,7 +247,10 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary: Column, calibration: Col
     cuts = plain_texts.mapInArrow(cut, "w binary").where(F.octet_length("w") < 4096)
     ordinary = [bytes(r[0]) for r in cuts.orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()]
 
-    tail = b"".join(b" " + x.encode() for x in strong) + b" "
+    runs = [bytes(r[0]) for r in toxic_runs(toxic, strong).orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()] if strong else []
+    listed = [b" " + x.encode() + b" " for x in strong]
+    trained = train(runs, max(2 * sum(map(len, listed)), 256), k=32, d=8) if runs else b""
+    tail = b"".join(x for x in listed if x not in trained) + trained        # all terms, whatever training chose
     half = len(ordinary) // 2
     base, plain = train(ordinary[:half], BASE_BYTES)[-BASE_BYTES:], train(ordinary[half:], max(len(tail), TAIL_BYTES), k=16)
     model = Model(ordinary=plain[-len(tail):] + base, toxic=tail + base)

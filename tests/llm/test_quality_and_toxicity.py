@@ -232,3 +232,18 @@ def test_dictionary_holds_every_selected_term(spark):
     docs, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.fit(docs, lab, F.col("doc_id") % 8 < 6, F.col("doc_id") % 8 >= 6)
     assert all(m.encode() in model.toxic for m in marks)
+
+
+def test_phrases_of_ordinary_words(spark):
+    """Toxic texts differ from ordinary ones only in the order of some words."""
+    rnd = random.Random(8)
+    common = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 8))) for _ in range(200)]
+    insults = [common[3 * i:3 * i + 3] for i in range(6)]
+    rows, labels = [], []
+    for i in range(2400):
+        body = [[w] for w in rnd.choices(common, k=45)] + [[w] if i % 4 else p for p in insults for w in (p if i % 4 else p[:1])]
+        rnd.shuffle(body)
+        rows.append((i, " ".join(w for b in body for w in b)))
+        labels.append((i, int(i % 4 == 0)))
+    recall, wrong = held_out_rates(spark, rows, labels)
+    assert recall >= 0.8 and wrong <= 0.15
