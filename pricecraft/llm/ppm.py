@@ -12,8 +12,11 @@ number of distinct symbols seen) and symbol exclusion: symbols seen in a
 context are taken out of the shorter context's distribution, which is scaled
 to what remains.  Byte 0xFF stands for the end of a text, 0xFE for what is
 before its start; neither occurs in UTF-8.  All training texts are counted.
-The trie that goes to the tasks is bounded: all contexts of up to two bytes
-and the ``max_contexts`` most frequent of three.
+The trie that goes to the tasks has all contexts of up to two bytes and the
+``max_contexts`` most frequent of three.  The other contexts of three stay in
+Spark: a block sends each distinct code it has outside that trie to the range
+of context hashes where their counts are, and gets back how much the code's
+log probability differs from what the shorter context gave it.
 """
 
 from __future__ import annotations
@@ -98,7 +101,16 @@ def count_contexts(texts: DataFrame) -> DataFrame:
 
 
 def learn_trie(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """[(codes, counts)] of orders 0 to 3; a code is the context's bytes and
+    """The trie of ``learn_contexts`` alone."""
+    trie, rest = learn_contexts(texts, max_contexts)
+    drop(rest)
+    return trie
+
+
+def learn_contexts(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> tuple[list[tuple[np.ndarray, np.ndarray]], DataFrame]:
+    """(trie, all counted contexts of three as (context, symbol, n)).
+
+    The trie: [(codes, counts)] of orders 0 to 3; a code is the context's bytes and
     the symbol.  At most 2**24 entries of orders 0 to 2 and 256 *
     ``max_contexts`` of order 3 are possible, whatever the corpus."""
     full = save(count_contexts(texts), "contexts")
@@ -111,8 +123,7 @@ def learn_trie(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> list[tuple
         rows = src.groupBy(ctx.alias("c"), "symbol").agg(F.sum("n").alias("n")).orderBy("c", "symbol").toArrow()
         c, s, n = (rows.column(i).to_numpy().astype(np.int64) for i in range(3))
         out.append(((c << 8 | s).astype(np.uint32), n))
-    drop(full)
-    return out
+    return out, full
 
 
 def log_table(trie: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +162,7 @@ class Model:
 
     def __init__(self, trie):
         rows, self.log = log_table(trie)
+        self.own = len(self.log) - len(np.unique(trie[3][0] >> np.uint32(8)))    # first row of a context of three
         self.rows = rows if len(rows) == 1 << 24 else np.resize(rows, 1 << 24)
 
     def score(self, arr: pa.Array) -> np.ndarray:
@@ -160,6 +172,56 @@ class Model:
         return np.add.reduceat(lp.astype(np.float64), np.concatenate(([0], ends[:-1]))) if len(ends) else np.zeros(0)
 
 
+    def open_codes(self, arr: pa.Array) -> dict[str, np.ndarray]:
+        """The distinct codes whose context of three the trie lacks, in order
+        of the context's hash, and their postings as in ``block_words``."""
+        code, text, _ = text_symbols(arr)
+        at = self.rows[code >> np.uint32(8)] < self.own
+        post, count = np.unique(code[at].astype(np.uint64) << np.uint64(16) | text[at].astype(np.uint64), return_counts=True)
+        code = (post >> np.uint64(16)).astype(np.uint32)
+        order = np.argsort(_context_hash(code), kind="stable")
+        code, post, count = code[order], post[order], count[order]
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+        return {"code": code[first], "code_post": np.diff(np.append(first, len(code))).astype(np.uint32),
+                "code_text": (post & np.uint64(0xFFFF)).astype(np.uint16), "code_count": count.astype(np.uint32)}
+
+    def corrections(self, asked: np.ndarray, codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """For each code asked, its log10 probability by the contexts of
+        three counted in (codes, n), less that by the shorter context; 0
+        where the context is not among them.  codes: ascending."""
+        out = np.zeros(len(asked))
+        if not len(codes) or not len(asked):
+            return out
+        contexts, first = np.unique(codes >> np.uint32(8), return_index=True)
+        ends = np.append(first[1:], len(codes))
+        where = np.minimum(np.searchsorted(contexts, asked >> np.uint32(8)), len(contexts) - 1)
+        known = np.flatnonzero(contexts[where] == asked >> np.uint32(8))
+        known = known[np.argsort(where[known], kind="stable")]
+        used = np.unique(where[known])
+        for i in range(0, len(used), 4096):
+            part = used[i:i + 4096]
+            r = np.repeat(np.arange(len(part)), ends[part] - first[part])
+            entry = np.concatenate([np.arange(first[c], ends[c]) for c in part])
+            p = np.zeros((len(part), 256))
+            p[r, codes[entry] & np.uint32(255)] = n[entry]
+            below = self.log[self.rows[contexts[part]]].astype(np.float64)
+            total, distinct = p.sum(1), (p > 0).sum(1)
+            left = np.where(p > 0, 0.0, 10.0 ** below).sum(1)
+            some = left > 0
+            a, z = np.searchsorted(where[known], [part[0], part[-1] + 1])
+            mine = known[a:z]
+            k, symbol = np.searchsorted(part, where[mine]), asked[mine] & np.uint32(255)
+            seen = p[k, symbol] > 0
+            scale = np.where(some, total + distinct, total)[k]
+            out[mine] = np.where(seen, np.log10(np.where(seen, p[k, symbol], 1.0) / scale) - below[k, symbol],
+                                 np.log10(distinct[k] / scale / np.where(some, left, 1.0)[k]))
+        return out
+
+
+def _context_hash(code: np.ndarray) -> np.ndarray:
+    return mix64((code >> np.uint32(8)).astype(np.uint64))
+
+
 def score_texts(docs: DataFrame, trie, carry: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """(*carry, score double): the log10 probability under the trie; a null
     text counts as empty (its end alone is scored)."""
@@ -216,7 +278,8 @@ def block_words(arr: pa.Array, train: np.ndarray) -> dict[str, np.ndarray]:
             "n_post": np.diff(np.append(first, len(post))).astype(np.uint32), "text": text, "count": count.astype(np.uint32)}
 
 
-_BLOCK_COLUMNS = ("word", "n_train", "n_post", "text", "count")
+_CODE_COLUMNS = ("code", "code_post", "code_text", "code_count")
+_BLOCK_COLUMNS = ("word", "n_train", "n_post", "text", "count", *_CODE_COLUMNS)
 
 
 def base_and_model_scores(docs: DataFrame, held: Column, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
@@ -229,7 +292,7 @@ def base_and_model_scores(docs: DataFrame, held: Column, max_contexts: int = MAX
     """
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out"), "text")
-    trie = learn_trie(src.where("NOT held_out").select(F.coalesce("text", F.lit("")).alias("text")), max_contexts)
+    trie, contexts = learn_contexts(src.where("NOT held_out").select(F.coalesce("text", F.lit("")).alias("text")), max_contexts)
     sent, digest = spark.sparkContext.broadcast(trie), _digest(trie)
 
     def cut(batches):
@@ -239,6 +302,7 @@ def base_and_model_scores(docs: DataFrame, held: Column, max_contexts: int = MAX
             for part in text_chunks(b, BLOCK_BYTES):
                 held_out = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 x = block_words(part.column(2), ~held_out)
+                x.update(model.open_codes(part.column(2)))
                 block += 1
                 arrays = [pa.array([block]), *(pa.array([x[c].tobytes()], pa.binary()) for c in _BLOCK_COLUMNS),
                           pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([held_out.tolist()], pa.list_(pa.bool_())),
@@ -251,7 +315,11 @@ def base_and_model_scores(docs: DataFrame, held: Column, max_contexts: int = MAX
     totals = replies.agg(F.sum("own").alias("N"), F.sum("new").alias("V")).first()
     n_all, v_all = int(totals["N"] or 0), int(totals["V"] or 0)
     counts = replies.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "c"))).alias("c"))   # one block's words
-    joined = blocks.join(counts, "block").select("word", "n_post", "text", "count", "doc_id", "held_out", "n_tokens", "score", "c")
+    codes = save(_code_corrections(blocks, contexts, sent, digest), "code-corrections")
+    drop(contexts)
+    codes = codes.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "d"))).alias("d"))      # one block's codes
+    joined = blocks.join(counts, "block").join(codes, "block", "left") \
+        .select("n_post", "text", "count", "code_post", "code_text", "code_count", "doc_id", "held_out", "n_tokens", "score", "c", "d")
 
     def finish(batches):
         from math import log10
@@ -264,10 +332,13 @@ def base_and_model_scores(docs: DataFrame, held: Column, max_contexts: int = MAX
                 n = len(r["doc_id"])
                 tokens = np.array(r["n_tokens"], np.int64)
                 base = np.bincount(text, count * np.log10(c + 0.1), n) - tokens * log10(n_all + 0.1 * (v_all + 1))
+                d = np.concatenate([np.frombuffer(x["d"], "<f8") for x in r["d"] or []] or [np.zeros(0)])
+                d = np.repeat(d, np.frombuffer(r["code_post"], "<u4")) * np.frombuffer(r["code_count"], "<u4")
+                score = np.array(r["score"], np.float64) + np.bincount(np.frombuffer(r["code_text"], "<u2"), d, n)
                 known = np.bincount(text, count * (c > 0), n).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["doc_id"], pa.int64()), pa.array(r["held_out"], pa.bool_()), pa.array(tokens), pa.array(known),
-                     pa.array(np.full(n, n_all, np.int64)), pa.array(base), pa.array(r["score"], pa.float64())],
+                     pa.array(np.full(n, n_all, np.int64)), pa.array(base), pa.array(score)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return joined.mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -324,6 +395,57 @@ def _corpus_counts(blocks: DataFrame) -> DataFrame:
         .mapInArrow(answer, "block long, bucket int, c binary, own long, new long")
 
 
+def _code_corrections(blocks: DataFrame, contexts: DataFrame, sent, digest: str) -> DataFrame:
+    """(block, bucket, d binary): ``Model.corrections`` of a block's codes, by
+    ranges of the context's hash."""
+    spark = blocks.sparkSession
+    size = (blocks.agg(F.sum(F.octet_length("code"))).first()[0] or 0) + 12 * contexts.count()
+    bits = max(4, int(np.ceil(np.log2(max(size / (8 << 20), 1)))))
+    schema = "bucket int, block long, code binary, n binary"
+
+    def pieces(block, code, n):
+        bucket = (_context_hash(code) >> np.uint64(64 - bits)).astype(np.int64)      # ascending
+        own, first = np.unique(bucket, return_index=True)
+        ends = np.append(first[1:], len(code))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own.astype(np.int32)), pa.array([block] * len(own), pa.int64()), pa.array([code[a:z].tobytes() for a, z in zip(first, ends)], pa.binary()),
+             pa.array([n[a:z].tobytes() for a, z in zip(first, ends)], pa.binary())], names=["bucket", "block", "code", "n"])
+
+    def ask(batches):
+        for b in batches:
+            for block, code in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield pieces(block, np.frombuffer(code, "<u4"), np.zeros(0, np.int64))
+
+    def offer(batches):
+        model = _model(sent, digest)
+        for b in batches:
+            context, symbol, n = (b.column(i).to_numpy().astype(np.int64) for i in range(3))
+            keep = np.flatnonzero(model.rows[context] < model.own)
+            code = (context[keep] << 8 | symbol[keep]).astype(np.uint32)
+            order = np.argsort(_context_hash(code), kind="stable")
+            yield pieces(-1, code[order], n[keep][order])        # before all blocks
+
+    def answer(batches):
+        model, bucket, codes, counts = _model(sent, digest), None, [], []
+        for b in batches:
+            for k, block, code, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if k != bucket:
+                    bucket, codes, counts = k, [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+                code = np.frombuffer(code, "<u4")
+                if block < 0:
+                    codes.append(code), counts.append(np.frombuffer(n, "<i8"))
+                    continue
+                if len(codes) > 1:
+                    c, m = _merge(codes, counts)
+                    codes, counts = [c], [m]
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()),
+                                                  pa.array([model.corrections(code, codes[0], counts[0]).tobytes()], pa.binary())], names=["block", "bucket", "d"])
+
+    return blocks.select("block", "code").mapInArrow(ask, schema).unionByName(contexts.select("context", "symbol", "n").mapInArrow(offer, schema)) \
+        .repartition(min(1 << bits, 4 * partitions(spark)), "bucket").sortWithinPartitions("bucket", "block") \
+        .mapInArrow(answer, "block long, bucket int, d binary")
+
+
 def held_out_scores(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
     """All rows, learned from those whose crc32(doc_id) mod 10 is not 0; rows
     without a doc_id are not held out."""

@@ -165,3 +165,9 @@ def test_bounded_trie_backs_off(spark, keep):
     assert len(np.unique(trie[3][0] >> 8)) == keep
     got = ppm.score_texts(frame(spark, rows), trie).collect()
     assert len(got) == 30 and all(r.score < 0 for r in got)
+
+
+def test_contexts_outside_the_trie_count(spark):
+    rows = frame(spark, EDGE + [tuple(r) for r in rows_of(spark)[:40]])
+    whole, small = ([x for _, x in sorted((str(r.doc_id), r.score) for r in ppm.held_out_scores(rows, max_contexts=k).collect())] for k in (1 << 24, 40))
+    assert np.allclose(whole, small, rtol=1e-6)
