@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, rules, sites, toxicity
+from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, rules, sites, toxicity, trie
+from .common import crc_mod, save
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +74,51 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.held_out_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation c opens with the first crc32(c) % 4 turns of c - c % 20."""
+    c = F.col("conv_id")
+    numbered = save(trie.number_turns(table(spark, sf_dir, "conversations")), "numbered")
+    turns, members = trie.share_heads(numbered, c - c % 20, crc_mod(c, 4), 3)
+    return trie.prefix_trie(turns, members)
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS c
+    FROM range(256) r(n))),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                         lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.donor AND t.i < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i >= c.h),
+paths AS (
+  SELECT c.conv_id, coalesce(p.path, []) AS path
+  FROM convs c LEFT JOIN (SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, i) AS path FROM rebuilt GROUP BY conv_id) p USING (conv_id)),
+members AS (SELECT conv_id, len(path) AS n, d AS depth, path[1:d] AS node FROM paths, unnest(range(len(path) + 1)) u(d)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends,
+         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].text, '[^ 	-]+')) END AS words
+  FROM members GROUP BY node, depth),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]),
+kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN kids k ON k.node = l.node),
+below AS (
+  SELECT node[1:d] AS node, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM full_nodes, unnest(range(depth + 1)) u(d) GROUP BY 1)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM full_nodes f JOIN below b ON b.node = f.node
+"""
