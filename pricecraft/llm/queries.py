@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, neardup, packing, pfor, ppm, rules, sites, toxicity, trie
+from . import bpe, jaccard, langid, neardup, packing, periodic, pfor, ppm, rules, sites, toxicity, trie
 from .common import crc_mod, save
 
 QUERIES = {}
@@ -110,7 +110,8 @@ members AS (SELECT conv_id, len(path) AS n, d AS depth, path[1:d] AS node FROM p
 nodes AS (
   SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
          coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends,
-         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].text, '[^ 	-]+')) END AS words
+         CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(node[depth].text, '[^ 	-
+]+')) END AS words
   FROM members GROUP BY node, depth),
 linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]),
 kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
@@ -122,3 +123,29 @@ SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIG
        saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
 FROM full_nodes f JOIN below b ON b.node = f.node
 """
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by h = crc32(doc_id) repeats its
+    words from a = g % n on with period p = 1 + (n - a) div (3 + g % 8), g = h div 10."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.coalesce("text", F.lit(""))
+    d = docs.select("doc_id", text.alias("text"), F.floor(h / 10).alias("g"),
+                    F.when(h % 10 == 0, F.regexp_extract_all(text, F.lit(trie.WORD), F.lit(0))).alias("words"))
+    d = d.withColumn("n", F.when(F.size("words") > 0, F.size("words")))
+    d = d.withColumn("a", (F.col("g") % F.col("n")).cast("int")).withColumn("rest", F.col("n") - F.col("a"))
+    d = d.withColumn("p", (1 + F.floor(F.col("rest") / (3 + F.col("g") % 8))).cast("int"))
+    turns = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(turns, F.lit(1), F.col("rest")))
+    return d.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = periodic.greatest_run(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
