@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, neardup, packing, periodic, pfor, ppm, rules, sites, toxicity, trie
+from . import bpe, jaccard, langid, neardup, packing, periodic, pfor, ppm, rules, sites, toxicity, trie, warc
 from .common import crc_mod, save
 
 QUERIES = {}
@@ -149,3 +149,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(spark, warc.archive_pages(table(spark, sf_dir, "pages")))
+
+
+ORACLES["op13_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha256(html) AS digest,
+             CASE WHEN octet_length(encode(html)) >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d
+"""
