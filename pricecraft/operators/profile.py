@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.binning import width_bucket_closed
 from ..functions.scalars import SENTINEL
 from .joins import ScalarRow
-from .quantiles import exact_quantiles, quantile_columns
+from .quantiles import ColumnQuantiles, exact_quantiles
 
 
 def _stack(one_row: DataFrame, parts: list[Column]) -> DataFrame:
@@ -58,27 +58,20 @@ def missing_matrix(df: DataFrame, key: str, cols: Sequence[str], n: int = 100) -
         for c in cols])).alias("_s")).select(key, "_s.*")
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    )).alias("_s")).select("_s.*")
-
-
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = 3, **qkw) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max per column (exact quartiles).
 
-    Moments come from one grouped aggregation over the long form (column, x).
+    Moments and the first sub-range counts of the quartiles come from one
+    scan; it runs when the function is called.
     """
     cols = list(cols)
-    stats = _long(df, cols).groupBy("column").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"))
-    q = quantile_columns(df, cols, [0.25, 0.5, 0.75], **qkw).groupBy("column").agg(
-        *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
-          for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
+    quartiles = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+    search = ColumnQuantiles(df, cols, list(quartiles), moments=True, **qkw)
+    rows = [(i, c, *(search.values.get((i, k)) for k in range(3))) for i, c in enumerate(cols)]
+    q = df.sparkSession.createDataFrame(rows, "col int, column string, q25 double, q50 double, q75 double")
     r = lambda c: (F.round(F.col(c), digits) if digits is not None else F.col(c)).alias(c)
-    return stats.join(q, "column", "left").select(
-        "column", "count", r("mean"), r("std"), r("min"), r("q25"), r("q50"), r("q75"), r("max"))
+    return q.join(F.broadcast(search.moments()), "col", "left").select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), r("mean"), r("std"), r("min"), r("q25"), r("q50"), r("q75"), r("max"))
 
 
 def corrected_skew(x: Column) -> tuple[Column, Column]:
