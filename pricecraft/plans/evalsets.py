@@ -1,11 +1,15 @@
-"""Data-derived inputs for the evaluation operators (no model needed).
-
-* ``predictions``: three baseline predictors fitted on the training split
-  and scored on the validation split (long form key, model, y, p):
-  global mean, brand mean, brand x region mean (with fall-backs).
-* ``history``: a metric series measured on the rows: the RMSE of the brand
-  mean (global mean for an unknown brand) by split and month of listing; the
-  month number is the iteration.
+"""Inputs of the evaluation operators.
+
+* ``scored``: baseline means (global, brand, brand x region) of the training
+  split on the rows of a split.
+* Fitted models whose outcome SQL can compute as well: boosted trees on one
+  category, deep enough to tell all its values apart.  With step s, all rows and
+  the start at the global mean, the prediction after k rounds is
+  mean(value) - (1 - s)^k (mean(value) - mean); with the absolute loss and one
+  whole step it is the median of the value; on the logarithm, the mean log.
+* ``history``: MAE, RMSE and R² of every round of the first of them, measured
+  while it is trained.
+* ``predictions``: these models scored on the validation split in one pass.
 """
 
 from __future__ import annotations
@@ -13,13 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import boosting as BT
 from ..operators import groupstats as G
 from ..operators.evaluate import split_bucket
 from ..operators.joins import left_join_params
 from .registry import TRAIN, VALID_PCT
 
-FIRST_YEAR = 1995            # month 1 is January of this year
-
 
 def split_train(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     t = TRAIN(spark, sf)
@@ -45,25 +48,75 @@ def scored(spark: SparkSession, sf: str, part: str = "valid") -> DataFrame:
                     F.coalesce("br_mean", "b_mean", g).alias("p_brand_region"))
 
 
+_CACHE: dict = {}
+
+
+def once(spark: SparkSession, sf: str, name: str, make):
+    """A value computed once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _CACHE:
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
+#: Training of the models on one category.
+ROUNDS, STEP, DEPTH = 12, 0.3, 40
+PATIENCE = 3
+ALL_ROWS = dict(subsample=1.0, feature_share=1.0, depth=DEPTH)
+
+
+def brand_model(spark: SparkSession, sf: str) -> BT.Boosted:
+    """Squared loss on the brand, measured on both splits in every round."""
+    def fit():
+        train, valid = split_train(spark, sf)
+        return BT.fit_boosted(train, "price", [], ["brand"], "sale_key", valid, rounds=ROUNDS, step=STEP, **ALL_ROWS)
+    return once(spark, sf, "brand-model", fit)
+
+
+def median_model(spark: SparkSession, sf: str) -> BT.Boosted:
+    """Absolute loss on the brand, one whole step."""
+    return once(spark, sf, "median-model", lambda: BT.fit_boosted(
+        split_train(spark, sf)[0], "price", [], ["brand"], "sale_key", rounds=1, step=1.0, loss="absolute", **ALL_ROWS))
+
+
+def log_model(spark: SparkSession, sf: str) -> BT.Boosted:
+    """Squared loss of the log price on the region, one whole step."""
+    return once(spark, sf, "log-model", lambda: BT.fit_boosted(
+        split_train(spark, sf)[0].withColumn("log_price", F.log1p("price")), "log_price", [], ["region_code"], "sale_key", rounds=1, step=1.0, **ALL_ROWS))
+
+
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    s = scored(spark, sf)
-    return s.select(F.col("sale_key").alias("key"), "y", F.explode(F.array(
-        F.struct(F.lit("global_mean").alias("model"), F.col("p_global").alias("p")),
-        F.struct(F.lit("brand_mean").alias("model"), F.col("p_brand").alias("p")),
-        F.struct(F.lit("brand_region_mean").alias("model"), F.col("p_brand_region").alias("p")),
-    )).alias("_s")).select("key", "_s.model", "y", "_s.p")
+    """(key, model, y, p) of three fitted models on the validation split."""
+    models = {"brand_boosted": (brand_model(spark, sf), "identity"), "brand_median": (median_model(spark, sf), "identity"),
+              "region_log": (log_model(spark, sf), "log1p")}
+    s = BT.score_many(models, split_train(spark, sf)[1], keep=["sale_key", "price"])
+    pair = F.explode(F.arrays_zip(F.array(*map(F.lit, models)).alias("model"), F.col("predictions").alias("p"))).alias("_s")
+    return s.select(F.col("sale_key").alias("key"), F.col("price").alias("y"), pair).select("key", "_s.model", "y", "_s.p")
 
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
-    """(set, iteration, rmse) by month of listing on the train and valid splits."""
-    fit, valid = split_train(spark, sf)
-    g, bm, _ = _fitted_means(fit)
-    both = fit.withColumn("set", F.lit("train")).unionByName(valid.withColumn("set", F.lit("valid")))
-    j = left_join_params(both, bm, "brand")
-    e = F.coalesce(F.col("b_mean"), g) - F.col("price")
-    day = F.col("creat_date")
-    month = (F.floor(day / 10000).cast("int") - FIRST_YEAR) * 12 + (F.floor(day / 100) % 100).cast("int")
-    return j.groupBy("set", month.alias("iteration")).agg(F.sqrt(F.avg(e * e)).alias("rmse"))
+    """(set, iteration, mae, rmse, r2) of the training of ``brand_model``."""
+    return brand_model(spark, sf).history_frame(spark)
+
+
+def importance(spark: SparkSession, sf: str) -> DataFrame:
+    """(feature, importance): the total gain of a fitted tree on each feature
+    alone, as a share of their sum (a tree that tells all values apart gains
+    the squares between them)."""
+    def fit():
+        train, _ = split_train(spark, sf)
+        gains = []
+        for c in IMPORTANCE_FEATURES:
+            model = BT.fit_boosted(train, "price", [], [c], "sale_key", rounds=1, step=1.0, **ALL_ROWS)
+            gains.append((c, float(sum(g for t in model.trees for g in t.gain))))
+        return gains
+    gains = once(spark, sf, "gains", fit)
+    total = sum(g for _, g in gains)
+    return spark.createDataFrame([(c, g / total if total else 0.0) for c, g in gains], "feature string, importance double")
+
+
+#: Few values each, so that SQL's groups are the leaves.
+IMPORTANCE_FEATURES = ["brand", "body_type", "fuel_type", "gearbox", "region_code", "not_repaired", "offer_type"]
 
 
 # SQL twins (DuckDB); names match the Spark columns.
@@ -83,19 +136,33 @@ scored AS (
   SELECT v.sale_key, v.brand, v.region_code, v.price AS y, gm.g AS p_global,
          coalesce(b.b_mean, gm.g) AS p_brand, coalesce(r.br_mean, b.b_mean, gm.g) AS p_brand_region
   FROM val v CROSS JOIN gm LEFT JOIN bmean b ON v.brand = b.brand
-  LEFT JOIN brmean r ON v.brand = r.brand AND v.region_code = r.region_code),
+  LEFT JOIN brmean r ON v.brand = r.brand AND v.region_code = r.region_code)
+"""
+
+BY_BRAND_SQL = """
+bgroup AS (SELECT brand, avg(price) AS m, median(price) AS md FROM fit GROUP BY brand),
+rgroup AS (SELECT region_code, avg(ln(1 + price)) AS lm FROM fit GROUP BY region_code)
+"""
+
+PREDS_SQL = SCORED_SQL + "," + BY_BRAND_SQL + f""",
+fitted AS (
+  SELECT v.sale_key AS key, v.price AS y, b.m - power(1 - {STEP}, {ROUNDS}) * (b.m - gm.g) AS p1, b.md AS p2, exp(r.lm) - 1 AS p3
+  FROM val v CROSS JOIN gm JOIN bgroup b ON v.brand IS NOT DISTINCT FROM b.brand JOIN rgroup r ON v.region_code IS NOT DISTINCT FROM r.region_code),
 preds AS (
-  SELECT sale_key AS key, 'global_mean' AS model, y, p_global AS p FROM scored
-  UNION ALL SELECT sale_key, 'brand_mean', y, p_brand FROM scored
-  UNION ALL SELECT sale_key, 'brand_region_mean', y, p_brand_region FROM scored)
+  SELECT key, 'brand_boosted' AS model, y, p1 AS p FROM fitted
+  UNION ALL SELECT key, 'brand_median', y, p2 FROM fitted
+  UNION ALL SELECT key, 'region_log', y, p3 FROM fitted)
 """
 
-HISTORY_SQL = SPLIT_SQL + f""",
+HISTORY_SQL = SPLIT_SQL + "," + BY_BRAND_SQL + f""",
 hrows AS (
-  SELECT 'train' AS set, f.creat_date AS d, coalesce(b.b_mean, gm.g) - f.price AS e FROM fit f CROSS JOIN gm LEFT JOIN bmean b ON f.brand = b.brand
-  UNION ALL
-  SELECT 'valid', v.creat_date, coalesce(b.b_mean, gm.g) - v.price FROM val v CROSS JOIN gm LEFT JOIN bmean b ON v.brand = b.brand),
+  SELECT CASE split WHEN 'train' THEN 'train' ELSE 'valid' END AS set, s.price AS y, b.m, gm.g
+  FROM sp s CROSS JOIN gm JOIN bgroup b ON s.brand IS NOT DISTINCT FROM b.brand),
 hist AS (
-  SELECT set, CAST((d // 10000 - {FIRST_YEAR}) * 12 + d // 100 % 100 AS INTEGER) AS iteration, sqrt(avg(e * e)) AS rmse
-  FROM hrows GROUP BY ALL)
+  SELECT set, CAST(k AS INTEGER) AS iteration, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - avg(e * e) / var_pop(y) AS r2
+  FROM (SELECT set, k, y, y - (m - power(1 - {STEP}, k) * (m - g)) AS e FROM hrows CROSS JOIN range(1, {ROUNDS + 1}) r(k)) GROUP BY set, k)
 """
+
+IMPORTANCE_SQL = SPLIT_SQL + ",\ngains AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, sum(n * (m - g) * (m - g)) AS gain FROM (SELECT count(*) AS n, avg(price) AS m FROM fit GROUP BY {c}) CROSS JOIN gm"
+    for c in IMPORTANCE_FEATURES) + "),\nimp AS (SELECT feature, gain / (SELECT sum(gain) FROM gains) AS importance FROM gains)"

@@ -6,38 +6,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as EVO
-from ..operators import profile as P
 from . import evalsets as EV
 from . import features as FE
-from .q_profile import NUMERIC
 from .q_scalars import TF_CTES
 from .registry import AS_OF_YEAR, TRAIN, VALID_PCT, register
 
-PATIENCE = 10
+PATIENCE = EV.PATIENCE
 
 
-def _importance(spark, sf):
-    """Importance by a fixed formula: |r| of each numeric feature with price."""
-    feats = [c for c in NUMERIC if c != "price"]
-    c = P.correlation_with_target(TRAIN(spark, sf), feats, "price")
-    return c.select(F.col("column").alias("feature"), F.coalesce(F.abs("corr"), F.lit(0.0)).alias("importance"))
-
-
-def _imp_sql() -> str:
-    from .q_profile import _corr_sql, _union_all
-    feats = [c for c in NUMERIC if c != "price"]
-    return "imp AS (" + _union_all([
-        f"SELECT '{c}' AS feature, coalesce(abs({_corr_sql(c, 'price')}), 0.0) AS importance" for c in feats]) + ")"
-
-
-IMP_CTE = _imp_sql()
+IMP_CTE = EV.IMPORTANCE_SQL
 
 
 @register("importance_topk", """
 SELECT feature, importance FROM imp ORDER BY importance DESC, feature ASC LIMIT 10""", ctes=IMP_CTE,
           rounds={"importance": 9})
 def q_importance_topk(spark, sf):
-    return EVO.importance_topk(_importance(spark, sf), 10)
+    return EVO.importance_topk(EV.importance(spark, sf), 10)
 
 
 @register("cumulative_importance_select", """
@@ -50,7 +34,7 @@ WHERE rank <= (SELECT count(*) FROM (
          / (SELECT sum(importance) FROM imp) AS cs FROM imp) WHERE cs <= 0.85) + 1""", ctes=IMP_CTE,
           rounds={"importance": 9, "cum_share": 9})
 def q_cumulative_importance_select(spark, sf):
-    return EVO.cumulative_importance_select(_importance(spark, sf), 0.85).withColumn(
+    return EVO.cumulative_importance_select(EV.importance(spark, sf), 0.85).withColumn(
         "rank", F.col("rank").cast("int"))
 
 
@@ -111,7 +95,7 @@ def q_learning_curve(spark, sf):
 @register("mae_from_rmse_estimate", "SELECT set, iteration, rmse, rmse * 0.55 AS mae_estimate FROM hist",
           ctes=EV.HISTORY_SQL, rounds={"rmse": 6, "mae_estimate": 6})
 def q_mae_from_rmse_estimate(spark, sf):
-    return EVO.mae_from_rmse_estimate(EV.history(spark, sf))
+    return EVO.mae_from_rmse_estimate(EV.history(spark, sf).select("set", "iteration", "rmse"))
 
 
 W_SQL = """
@@ -120,8 +104,8 @@ wt AS (SELECT model, r2, r2 / (SELECT sum(r2) FROM mt) AS weight FROM mt)
 """
 
 
-@register("ensemble_r2_weights", "SELECT * FROM wt", ctes=EV.SCORED_SQL + "," + W_SQL,
-          rounds={"r2": 9, "weight": 9})
+@register("ensemble_r2_weights", "SELECT * FROM wt", ctes=EV.PREDS_SQL + "," + W_SQL,
+          rounds={"r2": 9, "weight": 6})
 def q_ensemble_r2_weights(spark, sf):
     m = EVO.regression_metrics(EV.predictions(spark, sf), "y", "p", ["model"])
     return EVO.ensemble_r2_weights(m)
@@ -129,7 +113,7 @@ def q_ensemble_r2_weights(spark, sf):
 
 @register("ensemble_blend", """
 SELECT key, sum(p * weight) AS blend FROM preds JOIN wt USING (model) GROUP BY key""",
-          ctes=EV.SCORED_SQL + "," + W_SQL, rounds={"blend": 4})
+          ctes=EV.PREDS_SQL + "," + W_SQL, rounds={"blend": 4})
 def q_ensemble_blend(spark, sf):
     preds = EV.predictions(spark, sf)
     w = EVO.ensemble_r2_weights(EVO.regression_metrics(preds, "y", "p", ["model"]))

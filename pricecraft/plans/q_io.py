@@ -11,7 +11,7 @@ from ..session import shared_path
 from ..sources import io as IO
 from . import evalsets as EV
 from . import features as FE
-from .q_eval import IMP_CTE, _importance
+from .q_eval import IMP_CTE
 from .q_scalars import TF_CTES
 from .registry import AS_OF_YEAR, VALID_PCT, L, register
 
@@ -55,7 +55,7 @@ def q_write_submission(spark, sf):
 
 @register("write_importance", "SELECT feature, importance FROM imp", ctes=IMP_CTE, rounds={"importance": 9})
 def q_write_importance(spark, sf):
-    imp = _importance(spark, sf)
+    imp = EV.importance(spark, sf)
     p = _path(spark, "importance")
     IO.write_importance(imp, p)
     return spark.read.schema("feature string, importance double").option("header", True).csv(p)

@@ -434,7 +434,7 @@ METRIC_R = {"mae": 6, "mse": 2, "rmse": 6, "r2": 9}
 @register("regression_metrics", """
 SELECT model, count(*) AS n, avg(abs(p - y)) AS mae, avg((p - y) * (p - y)) AS mse,
        sqrt(avg((p - y) * (p - y))) AS rmse, 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2
-FROM preds GROUP BY model""", ctes=EV.SCORED_SQL, rounds=METRIC_R)
+FROM preds GROUP BY model""", ctes=EV.PREDS_SQL, rounds=METRIC_R)
 def q_regression_metrics(spark, sf):
     return regression_metrics(EV.predictions(spark, sf), "y", "p", ["model"])
 
@@ -443,6 +443,6 @@ def q_regression_metrics(spark, sf):
 SELECT *, (mae - min(mae) OVER ()) * 100.0 / min(mae) OVER () AS mae_vs_best_pct FROM (
 SELECT model, count(*) AS n, avg(abs(p - y)) AS mae, avg((p - y) * (p - y)) AS mse,
        sqrt(avg((p - y) * (p - y))) AS rmse, 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS r2
-FROM preds GROUP BY model)""", ctes=EV.SCORED_SQL, rounds={**METRIC_R, "mae_vs_best_pct": 6})
+FROM preds GROUP BY model)""", ctes=EV.PREDS_SQL, rounds={**METRIC_R, "mae_vs_best_pct": 6})
 def q_model_comparison(spark, sf):
     return model_comparison(EV.predictions(spark, sf), "y", "p", "model")

@@ -45,12 +45,3 @@ def test_registered_model_queries_rows(spark):
     assert set(tree) == {"train", "valid"} and tree["train"].rmse < tree["valid"].rmse
     pdf = q["feature_importance"](spark, SF_SMALL).toPandas()
     assert len(pdf) == 25 and abs(pdf.importance.sum() - 1.0) < 1e-9
-
-
-def test_patience_cuts_at_the_best_round(spark):
-    df = _toy(spark)
-    tr, va = df.where("k % 5 != 0"), df.where("k % 5 = 0")
-    kw = dict(max_iter=8, max_depth=3, step=0.3, subsample=1.0, feature_subset="all")
-    model, best = M.fit_gbt_patience(spark, tr, va, ["x1", "x2"], "y", patience=3, **kw)
-    h = M.eval_history(spark, M.fit_gbt(tr, ["x1", "x2"], "y", **kw), tr, va, "y").where("set = 'valid'").toPandas()
-    assert model.stages[-1].getNumTrees == best == int(h.sort_values(["rmse", "iteration"]).iteration.iloc[0])
