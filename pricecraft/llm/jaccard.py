@@ -14,17 +14,22 @@ join is exact and never compares all pairs:
     by rarity, so a document's Voronoi region is its rarest shingle; its
     window are the shingles after it among which the rarest one shared with a
     linked document must be.  The document is copied to those regions.
-4.  Inside a region documents are pivots.  With the exact distances to the
-    region's new pivots, every document goes to the region of its nearest
-    pivot p and, by the triangle inequality, is copied to that of q when
-    d(x,q) <= d(x,p) + 2e (pivots close to each other share a region).  Documents further than 3e from all pivots stay in a
-    remainder, to which those beyond 2e are copied.  Regions are joined
-    recursively, until all of a region's documents are in one component or
-    those in different ones make at most ``LEAF`` pairs a document; these
-    pairs are compared directly.
-
-Every step is a shuffle join or a partial aggregate.  Shingles are 64-bit
-hashes; all other arithmetic is in integers.
+4.  Inside a region documents are pivots.  First every region compares its
+    documents with one pivot, by rows, and the links found join components.
+    A region that still holds several is then joined in one task if its
+    shingles number at most ``SOLVE``: the task takes documents outside the
+    largest component as pivots one after another, each against all of other
+    components, until every pair of different components has been seen, and
+    sends a spanning forest of the links, no pairs.  Larger regions are split:
+    with the distances to new pivots every document goes to the region of its
+    nearest pivot p and, by the triangle inequality, is copied to that of q
+    when d(x,q) <= d(x,p) + 2e (pivots close to each other share a region).
+    Documents further than 3e from all pivots stay in a remainder, to which
+    those beyond 2e are copied.  Regions are joined recursively.
+
+Points are classes of equal sets, named by a hash of the set, so rows that
+share a doc_id cannot be taken for each other.  Shingles are 64-bit hashes; a
+point's array of them is what travels, once for each region it is in.
 """
 
 from __future__ import annotations
@@ -34,13 +39,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop, mix64, partitions, save, shingle_sets, text_chunks
+from .common import connected_components, drop, mix64, partitions, save, shingle_sets, text_buffer, text_chunks
 
 WORDS = 5
 PERCENT = 80
 SLICE_BYTES = 1 << 20
 BLOCK_DOCS = 16_384
-LEAF = 256                  # pairs of different components, per point of a region, that are compared directly
+SOLVE = 2 << 20             # shingles of a region that one task joins (16 MB)
 
 
 def least_overlap(n: Column, percent: int = PERCENT) -> Column:
@@ -48,25 +53,47 @@ def least_overlap(n: Column, percent: int = PERCENT) -> Column:
     return F.ceil(n * percent / 100.0 - 1e-9).cast("long")
 
 
+def set_sums(h: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums of every set, which equal sets have in common."""
+    sums = []
+    for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h ^ np.uint64(salt)), dtype=np.uint64)])
+        sums.append((run[ends[1:]] - run[ends[:-1]]).view(np.int64))
+    return sums
+
+
 def set_sizes(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles long, s1, s2): set size and a 128-bit sum that
-    equal sets have in common."""
+    """(doc_id, n_shingles long, s1, s2): set size and the sums of the set."""
 
     def run(batches):
         for b in batches:
             for part in text_chunks(b, SLICE_BYTES):
                 h, ends = shingle_sets(part.column(1), k)
-                n = np.diff(ends)
-                sums = []
-                for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
-                    run_ = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(h ^ np.uint64(salt)), dtype=np.uint64)])
-                    sums.append((run_[ends[1:]] - run_[ends[:-1]]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), *(pa.array(x) for x in sums)],
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends)), *map(pa.array, set_sums(h, ends))],
                                                  names=["doc_id", "n_shingles", "s1", "s2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
 
 
+def class_id() -> Column:
+    return F.xxhash64("n_shingles", "s1", "s2")
+
+
+def hash_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(row_id, n_shingles long, s1, s2, h binary): sets with their sorted hashes."""
+
+    def run(batches):
+        for b in batches:
+            for part in text_chunks(b, SLICE_BYTES):
+                h, ends = shingle_sets(part.column(1), k)
+                raw, ends_ = h.tobytes(), (ends * 8).tolist()
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends)), *map(pa.array, set_sums(h, ends)),
+                                                  pa.array([raw[x:y] for x, y in zip(ends_, ends_[1:])], pa.binary())],
+                                                 names=["row_id", "n_shingles", "s1", "s2", "h"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "row_id long, n_shingles long, s1 long, s2 long, h binary")
+
+
 # ---------------------------------------------------------------- step 2
 
 def shared_counts(docs: DataFrame, buckets: int, k: int = WORDS) -> DataFrame:
@@ -98,11 +125,8 @@ def shared_counts(docs: DataFrame, buckets: int, k: int = WORDS) -> DataFrame:
                 own = np.bincount(d[np.repeat(times > 1, times)], minlength=b.num_rows)
                 u, one = h[first], np.where(times > 1, -1, d[first]) if len(h) else np.zeros(0, np.int32)
                 rows = [(-1, ids.astype("<i8").tobytes(), n_half.astype("<i8").tobytes(), own.astype("<i8").tobytes())]
-                at_bucket = np.searchsorted(u >> top, np.arange((1 << bits) + 1, dtype=np.uint64)) if len(u) else np.zeros((1 << bits) + 1, np.int64)
-                for q in range(1 << bits):
-                    a, z = int(at_bucket[q]), int(at_bucket[q + 1])
-                    if a == z:
-                        continue
+                there, at_bucket = np.unique(u >> top, return_index=True)
+                for q, a, z in zip(there.tolist(), at_bucket.tolist(), [*at_bucket.tolist()[1:], len(u)]):
                     rest = (u[a:z] >> np.uint64(max(0, int(top) - 40))) & np.uint64((1 << 40) - 1)
                     who = one[a:z]
                     local = np.unique(who[who >= 0])
@@ -158,24 +182,30 @@ def batch_slices(batch: pa.RecordBatch, rows: int = BLOCK_DOCS):
 
 # ---------------------------------------------------------------- step 3
 
-def explode_shingles(points: DataFrame, k: int = WORDS) -> DataFrame:
+def hash_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets) of binary values."""
+    data, off = text_buffer(column)
+    return np.frombuffer(data.tobytes(), np.uint64), off // 8
+
+
+def explode_shingles(points: DataFrame) -> DataFrame:
     """(doc_id, shingle long) of every shingle of every point."""
 
     def run(batches):
         for b in batches:
-            for part in text_chunks(b, SLICE_BYTES):
-                h, ends = shingle_sets(part.column(1), k)
+            for part in text_chunks(b, SLICE_BYTES, column="h"):
+                h, ends = hash_arrays(part.column(1))
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), np.diff(ends))),
                                                   pa.array(h.view(np.int64))], names=["doc_id", "shingle"])
 
-    return points.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
+    return points.select("doc_id", "h").mapInArrow(run, "doc_id long, shingle long")
 
 
-def voronoi_windows(points: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
+def voronoi_windows(points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(region long, doc_id, n, rank double): every point in the regions of its
     window, regions of one point left out; rank orders pivots, points with
     few shingles of their own first."""
-    posts = save(explode_shingles(points, k), "postings")
+    posts = save(explode_shingles(points), "postings")
     common = posts.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = posts.join(common, "shingle").select("doc_id", "shingle", "df")
     per_doc = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))   # one document's shingles
@@ -189,17 +219,17 @@ def voronoi_windows(points: DataFrame, percent: int = PERCENT, k: int = WORDS) -
 
 # ---------------------------------------------------------------- step 4
 
-def distances(pairs: DataFrame, points: DataFrame, k: int = WORDS) -> DataFrame:
+def distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """(a, b, common, whole) of pairs (a, b): sizes of intersection and union."""
-    text = points.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    other = points.select(F.col("doc_id").alias("b"), F.col("text").alias("text"))
-    both = pairs.join(text, "a").join(other, "b").select("a", "b", "text_a", "text")
+    one = points.select(F.col("doc_id").alias("a"), F.col("h").alias("h_a"))
+    other = points.select(F.col("doc_id").alias("b"), F.col("h").alias("h_b"))
+    both = pairs.join(one, "a").join(other, "b").select("a", "b", "h_a", "h_b")
 
     def run(batches):
         for batch in batches:
-            for part in text_chunks(batch, SLICE_BYTES):
-                ha, ea = shingle_sets(part.column(2), k)
-                hb, eb = shingle_sets(part.column(3), k)
+            for part in text_chunks(batch, SLICE_BYTES, column="h_a"):
+                ha, ea = hash_arrays(part.column(2))
+                hb, eb = hash_arrays(part.column(3))
                 common = np.array([len(np.intersect1d(ha[ea[i]:ea[i + 1]], hb[eb[i]:eb[i + 1]], assume_unique=True)) for i in range(part.num_rows)], np.int64)
                 whole = np.diff(ea) + np.diff(eb) - common
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common), pa.array(whole)], names=["a", "b", "common", "whole"])
@@ -207,57 +237,124 @@ def distances(pairs: DataFrame, points: DataFrame, k: int = WORDS) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, common long, whole long")
 
 
-def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame | None:
-    """(id, root) of all points with a link, or None without any: the recursive
-    join of the regions."""
+def forest(labels: np.ndarray, h: np.ndarray, ends: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links (places of two sets) that, with equal ``labels``, span the
+    components of a region's sets.
+
+    A set outside the largest component is the next pivot: its intersections
+    with all others are counted at once, and it is done.  When none is left
+    outside, every pair of different components has been compared.
+    """
+    m = len(labels)
+    _, code = np.unique(h, return_inverse=True)
+    sizes = np.diff(ends)
+    comp = np.unique(labels, return_inverse=True)[1]
+    many = np.bincount(comp, minlength=m)
+    marked = np.zeros(int(code.max()) + 1 if len(code) else 1, bool)
+    done = np.zeros(m, bool)
+    out = []
+    while True:
+        left = np.flatnonzero(~done & (comp != np.argmax(many)))
+        if not len(left):
+            return out
+        x = left[np.argmax(sizes[left])]
+        own = code[ends[x]:ends[x + 1]]
+        marked[own] = True
+        common = np.add.reduceat(marked[code].view(np.int8), ends[:-1], dtype=np.int64)
+        marked[own] = False
+        done[x] = True
+        near = np.flatnonzero((common * 100 >= (sizes + sizes[x] - common) * percent) & (comp != comp[x]))
+        for c in np.unique(comp[near]):
+            out.append((int(x), int(near[np.argmax(comp[near] == c)])))
+        if len(near):
+            joined = np.isin(comp, np.unique(comp[near]))
+            comp[joined] = comp[x]
+            many = np.bincount(comp, minlength=m)
+
+
+def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b) links that span the components of each region (region, doc_id,
+    label), one region at a time in a task."""
+
+    def run(batches):
+        region, held = None, []
+
+        def solved():
+            if len(held) > 1:
+                h = np.concatenate([x for _, _, x in held])
+                ends = np.concatenate([[0], np.cumsum([len(x) for _, _, x in held])])
+                links = forest(np.array([x for _, x, _ in held]), h, ends, percent)
+                if links:
+                    a, b = (np.array([held[p[i]][0] for p in links]) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            h, ends = hash_arrays(batch.column(3))
+            for i, (r, d, x) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+                if r != region:
+                    yield from solved()
+                    region, held = r, []
+                held.append((d, x, h[ends[i]:ends[i + 1]]))
+        yield from solved()
+
+    return rows.join(points.select("doc_id", "h"), "doc_id").select("region", "doc_id", "label", "h") \
+        .repartition(2 * partitions(rows.sparkSession), "region").sortWithinPartitions("region").mapInArrow(run, "a long, b long")
+
+
+def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCENT, solve: int = SOLVE) -> tuple[DataFrame | None, DataFrame | None]:
+    """((id, root) of all points with a link, links (a, b) that span them), or
+    Nones without any: the recursive join of the regions."""
     e = 1 - percent / 100.0
     rows = save(windows.withColumn("label", F.col("doc_id")), "regions")
     edges, labels, known, level = None, None, None, 0
     while True:
         # regions that hold more than one component; equal ones once
-        parts = rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("doc_id") % (1 << 40)).alias("k1"),
+        parts = rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"),
+                                                    F.sum(F.xxhash64("doc_id") % (1 << 40)).alias("k1"),
                                                     F.sum(F.xxhash64("doc_id", F.lit(1)) % (1 << 40)).alias("k2"))
-        state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("labels"), F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("same"),
-                                            F.max(F.struct("c", "label"))["label"].alias("major"), F.sum("k1").alias("k1"), F.sum("k2").alias("k2")) \
-            .where("labels > 1")
-        # the first level has a pivot in every region; later those with few open pairs are compared directly
-        direct = F.lit(False) if level == 0 else F.col("m") * F.col("m") - F.col("same") <= 2 * LEAF * F.col("m")
-        open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", "major", direct.alias("direct"))).alias("r")).select("r.*")
+        state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("labels"), F.sum("c").alias("m"), F.sum("size").alias("size"),
+                                            F.sum("k1").alias("k1"), F.sum("k2").alias("k2")).where("labels > 1")
+        # the first level has a pivot in every region; what is left of those of bounded size is joined in tasks
+        in_task = F.lit(False) if level == 0 else F.col("size") <= solve
+        open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", in_task.alias("in_task"), (F.col("size") <= solve).alias("small"))).alias("r")).select("r.*")
         active = save(rows.join(open_, "region"), "regions")
         drop(rows)
         rows = active
         if not rows.take(1):
             break
-        large = rows.where(~F.col("direct"))
-        fan = 1 << min(level, 20)                # more pivots in later rounds: few rounds also in regions of strangers
-        order = F.struct("rank", F.col("doc_id").alias("p"))
-        pivots = large.groupBy("region", (F.xxhash64("doc_id", F.lit(level)) % fan).alias("part")).agg(F.min(order).alias("o")).select("region", "o.p")
-        to_pivot = large.join(pivots, "region").where("doc_id <> p")
-        new = to_pivot.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
-        if level:
-            # every open pair has a document outside the region's largest component
-            small = rows.where("direct")
-            other = small.select("region", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("label_b"))
-            new = new.unionByName(small.where("label <> major").withColumnRenamed("doc_id", "a").join(other, "region")
-                                  .where((F.col("label") != F.col("label_b")) & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent))
-                                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        new = new.distinct()
-        if known is not None:
-            new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        found = save(distances(new, points, k), "distances")
-        known = found if known is None else save(known.unionByName(found), "distances")
-        links = found.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
+        found = None
+        large = rows.where("NOT in_task")
+        if large.take(1):
+            fan = 1 << min(level, 20)            # more pivots in later rounds: few rounds also in regions of strangers
+            order = F.struct("rank", F.col("doc_id").alias("p"))
+            pivots = large.groupBy("region", (F.xxhash64("doc_id", F.lit(level)) % fan).alias("part")).agg(F.min(order).alias("o")).select("region", "o.p")
+            to_pivot = large.join(pivots, "region").where("doc_id <> p")
+            new = to_pivot.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
+            if known is not None:
+                new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
+            found = save(distances(new, points), "distances")
+            known = found if known is None else save(known.unionByName(found), "distances")
+        links = solve_regions(rows.where("in_task"), points, percent) if level else None
+        if found is not None:
+            direct = found.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
+            links = direct if links is None else links.unionByName(direct)
         edges = save(links if edges is None else edges.unionByName(links), "links")
         labels = save(connected_components(edges), "labels")
+        if found is None:
+            drop(active)
+            return labels, edges
+        # regions small enough for a task stay as they are, but for the pivot, which is done
+        stay = large.where("small").join(pivots.withColumnRenamed("p", "doc_id"), ["region", "doc_id"], "left_anti").select("region", "doc_id", "n", "rank")
         d = known.select("a", "b", (1 - F.col("common") / F.col("whole")).alias("d"))
-        near = to_pivot.withColumn("a", F.least("doc_id", "p")).withColumn("b", F.greatest("doc_id", "p")).join(d, ["a", "b"]) \
+        near = to_pivot.where("NOT small").withColumn("a", F.least("doc_id", "p")).withColumn("b", F.greatest("doc_id", "p")).join(d, ["a", "b"]) \
             .select("region", "doc_id", "n", "rank", "p", "d")
-        rows = save(_next_regions(near, pivots, e, level).join(labels.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
+        split = _next_regions(near, pivots.join(large.where("NOT small").select("region").distinct(), "region", "left_semi"), e, level)
+        rows = save(stay.unionByName(split).join(labels.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
                     .select("region", "doc_id", "n", "rank", F.coalesce("root", "doc_id").alias("label")), "regions")
         drop(active)
         level += 1
     drop(rows)
-    return labels
+    return labels, edges
 
 
 def _next_regions(near: DataFrame, pivots: DataFrame, e: float, level: int) -> DataFrame:
@@ -280,7 +377,7 @@ def _next_regions(near: DataFrame, pivots: DataFrame, e: float, level: int) -> D
 
 # ---------------------------------------------------------------- the join
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS, solve: int = SOLVE) -> DataFrame:
     """(doc_id, n_shingles long, component_id long) of every row of ``docs``
     (doc_id, text): component_id is the smallest doc_id reachable by links.
 
@@ -291,17 +388,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS)
     empty table gives an empty table.
     """
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sizes = save(set_sizes(src, k), "set-sizes")
+    sizes = save(set_sizes(src, k).withColumn("point", class_id()), "set-sizes")
     whole = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = whole.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    classes = whole.groupBy("point", "n_shingles").agg(F.min("doc_id").alias("rep"))
     total = whole.agg(F.sum("n_shingles")).first()[0] or 0
+    # ids with several sets: no count of their own, always points, and linked among themselves
+    odd = save(whole.groupBy("doc_id").agg(F.min("point").alias("first"), F.max("point").alias("last")).where("first <> last"), "odd")
     half = shared_counts(src.where("doc_id IS NOT NULL"), max(16, total >> 21), k)
-    able = classes.join(half.withColumnRenamed("doc_id", "rep"), "rep") \
-        .where(F.col("shared") >= F.col("n_half") - (F.col("n_shingles") - least_overlap(F.col("n_shingles"), percent)))
-    reps = save(able.groupBy(F.col("rep").alias("doc_id")).agg(F.max("n_shingles").alias("n_shingles")), "points")
-    points = save(src.join(reps, "doc_id").dropDuplicates(["doc_id"]), "points")
-    labels = link_components(voronoi_windows(points, percent, k), points, percent, k)
-    of_class = classes if labels is None else classes.join(labels.select(F.col("id").alias("rep"), "root"), "rep", "left")
-    root = F.col("rep") if labels is None else F.coalesce("root", "rep")
-    return sizes.join(of_class.select("n_shingles", "s1", "s2", root.alias("root")), ["n_shingles", "s1", "s2"], "left") \
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    enough = F.col("shared") >= F.col("n_half") - (F.col("n_shingles") - least_overlap(F.col("n_shingles"), percent))
+    able = classes.join(half.withColumnRenamed("doc_id", "rep"), "rep").where(enough).select("point", "rep") \
+        .unionByName(classes.join(odd.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("point", "rep")).distinct()
+    able = save(able, "able")
+    texts = src.join(able.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    points = save(hash_sets(texts, k).withColumn("doc_id", class_id()).join(able.select(F.col("point").alias("doc_id")), "doc_id", "left_semi")
+                  .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "h"), "points")
+    labels, edges = link_components(voronoi_windows(points, percent), points, percent, solve)
+    if odd.take(1):
+        same = whole.join(odd, "doc_id").select(F.col("first").alias("a"), F.col("point").alias("b")).where("a <> b").distinct()
+        labels = save(connected_components(same if edges is None else edges.unionByName(same)), "labels")
+    if labels is None:
+        of_class = classes.select("point", F.col("rep").alias("component_id"))
+    else:
+        rooted = classes.join(labels.withColumnRenamed("id", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
+        least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+        of_class = rooted.join(least, "root").select("point", "component_id")
+    mine = sizes.join(of_class, "point", "left")
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    return mine.select("doc_id", "n_shingles", own.alias("component_id"))
