@@ -91,6 +91,10 @@ def load_ranks(text: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, text.splitlines()) if a}
 
 
+#: Longer keys are not remembered: the memos are bounded in bytes by their entries.
+LONG_KEY = 64
+
+
 class WordIds(dict):
     """word (str) -> its ids as little-endian unsigned 32-bit integers."""
 
@@ -99,7 +103,8 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         v = np.array(fold_merges(word.encode(), self.ranks), "<u4").tobytes()
-        self[word] = v
+        if len(word) <= LONG_KEY:
+            self[word] = v
         return v
 
 
@@ -115,7 +120,8 @@ class ChunkIds(dict):
 
     def __missing__(self, key: str) -> bytes:
         v = b"".join(map(self.words.__getitem__, self.find(key[1:] if key[0] == " " else " " + key)))
-        self[key] = v
+        if len(key) <= LONG_KEY:
+            self[key] = v
         return v
 
 

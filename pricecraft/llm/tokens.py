@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import chunk_keys
+from .bpe import LONG_KEY, chunk_keys
 from .common import text_chunks, worker_store
 
 MEMO_CHUNKS = 600_000       # chunks a worker remembers (a cache: results do not depend on it)
@@ -29,7 +30,7 @@ class Encoder:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = True       # texts come without them (``WithAdded``)
         vocab = self.tok.get_vocab()
         self.length = np.zeros(max(vocab.values()) + 1, np.int64)
         for piece, i in vocab.items():
@@ -70,9 +71,14 @@ class Encoder:
         used: set[str] = set().union(*cut)
         if len(self.memo) > MEMO_CHUNKS:            # keep what this slice has: the frequent ones are among it
             self.memo = {k: self.memo[k] for k in used.intersection(self.memo)}
-        self._learn(list(used.difference(self.memo)))
+        new = used.difference(self.memo)
+        self._learn(list(new))
         get = self.memo.__getitem__
-        return [b"".join(map(get, keys)) for keys in cut]
+        out = [b"".join(map(get, keys)) for keys in cut]
+        for k in new:
+            if len(k) > LONG_KEY:                   # the memo is bounded in bytes by its entries
+                del self.memo[k]
+        return out
 
 
 #: Fixed value: the pattern by which a byte-level pre-tokenizer cuts words.
@@ -120,13 +126,39 @@ class RankEncoder:
         return [self.to_ids(t, disallowed_special=()).astype("<u4").tobytes() if t else b"" for t in texts]
 
 
-def encoder(tokenizer_json: str, by_ranks: bool = False) -> Encoder | RankEncoder:
+class WithAdded:
+    """Added tokens of the file: their strings in a text are one id each, and
+    what lies between is encoded by itself, as the library does."""
+
+    def __init__(self, inner: Encoder | RankEncoder, added: list[dict]):
+        if odd := [a["content"] for a in added if a.get("lstrip") or a.get("rstrip") or a.get("single_word")]:
+            raise ValueError(f"added tokens that take in their surroundings are not supported: {odd}")
+        self.inner = inner
+        self.ids = {a["content"]: np.array([a["id"]], "<u4").tobytes() for a in added}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")").split
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = {i: self.cut(t) for i, t in enumerate(texts) if t and any(a in t for a in self.ids)}
+        if not split:
+            return self.inner.encode(texts)
+        flat = [p for i, t in enumerate(texts) for p in (split[i][::2] if i in split else [t])]
+        found = iter(self.inner.encode(flat))
+        out = []
+        for i in range(len(texts)):
+            parts = split.get(i, [None])
+            out.append(b"".join(next(found) if k % 2 == 0 else self.ids[p] for k, p in enumerate(parts)))
+        return out
+
+
+def encoder(tokenizer_json: str, by_ranks: bool = False) -> Encoder | RankEncoder | WithAdded:
     """The worker's encoder for this tokenizer; with ``by_ranks`` the faster
     one where the file allows it."""
     store = worker_store(f"encoder-{by_ranks}-" + hashlib.sha256(tokenizer_json.encode()).hexdigest()[:16])
     if not store:
         ranks = merge_ranks(tokenizer_json) if by_ranks else None
-        store["encoder"] = RankEncoder(ranks) if ranks else Encoder(tokenizer_json)
+        inner = RankEncoder(ranks) if ranks else Encoder(tokenizer_json)
+        added = json.loads(tokenizer_json).get("added_tokens") or []
+        store["encoder"] = WithAdded(inner, added) if added else inner
     return store["encoder"]
 
 

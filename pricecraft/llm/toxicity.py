@@ -41,16 +41,21 @@ FAR = 9
 FLUSH_TERMS = 400_000
 EDGES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PS")
 GAINS = (2, 3, 4)
+#: Longer windows are cut into samples of this size.
+SAMPLE_BYTES = 4096
 
 
 @dataclass
 class Bounds:
-    """At most so many rows are used for fitting, first in order of a hash of their id."""
+    """At most so many rows are used for fitting, first in order of a hash of
+    their id; all windows of these rows are used.  Evidence for terms comes from
+    all toxic and ordinary rows, the ordinary dictionary from the first
+    ``dictionary_texts`` of the ordinary ones."""
 
     toxic_texts: int = 8_000
     ordinary_texts: int = 16_000
     calibration_texts: int = 16_000
-    windows: int = 100_000
+    dictionary_texts: int = 6_000
 
 
 @dataclass
@@ -173,8 +178,9 @@ def toxic_runs(texts: DataFrame, strong: list[str]) -> DataFrame:
 
 
 def train(samples: list[bytes], size: int, k: int = 48, d: int = 6) -> bytes:
-    """A zstandard dictionary's bytes; the samples themselves where they are
-    too few to train one."""
+    """A zstandard dictionary's bytes.  Below 16 samples or 4 times ``size``, or
+    where the library finds too little to train on, the end of the samples
+    themselves (``size`` bytes), which serves as a dictionary too."""
     import zstandard
     total = sum(map(len, samples))
     if total > 4 * size and len(samples) >= 16:
@@ -242,12 +248,13 @@ def fit(docs: DataFrame, labels: DataFrame, dictionary: Column, calibration: Col
     def cut(batches):
         for batch in batches:
             for part in text_chunks(batch, 4 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array([w for t in part.column(0).to_pylist() for w in text_windows(t)], pa.binary())], names=["w"])
+                yield pa.RecordBatch.from_arrays([pa.array([w[i:i + SAMPLE_BYTES] for t in part.column(0).to_pylist() for w in text_windows(t) for i in range(0, len(w), SAMPLE_BYTES)],
+                                                         pa.binary())], names=["w"])
 
-    cuts = plain_texts.mapInArrow(cut, "w binary").where(F.octet_length("w") < 4096)
-    ordinary = [bytes(r[0]) for r in cuts.orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()]
-
-    runs = [bytes(r[0]) for r in toxic_runs(toxic, strong).orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()] if strong else []
+    # a whole set of rows, bounded above, so that all of their windows count
+    first = train_rows.where("toxic = 0").orderBy(order).limit(bounds.dictionary_texts).select("text")
+    ordinary = [bytes(r[0]) for r in first.mapInArrow(cut, "w binary").orderBy(F.xxhash64("w"), "w").collect()]
+    runs = [bytes(r[0]) for r in toxic_runs(toxic, strong).orderBy(F.xxhash64("w"), "w").collect()] if strong else []
     listed = [b" " + x.encode() + b" " for x in strong]
     trained = train(runs, max(2 * sum(map(len, listed)), 256), k=32, d=8) if runs else b""
     tail = b"".join(x for x in listed if x not in trained) + trained        # all terms, whatever training chose

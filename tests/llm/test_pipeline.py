@@ -40,7 +40,6 @@ def test_every_stage(spark, tmp_path):
     parts = brute_components([(i, rows[i].text) for i in kept[1]])
     assert kept[2] == {i for i, n, c in parts if i == c or not n}
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = {}
     for r in packed.orderBy("doc_id", "piece").collect():
         assert r.ids_crc32 == zlib.crc32(bytes(r.ids)) and r.length == len(r.ids) // 4

@@ -32,7 +32,6 @@ def enc():
 @pytest.fixture(scope="module")
 def hf():
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -41,6 +40,32 @@ def docs(spark):
     return spark.createDataFrame([(i, t, "junk", 1, "junk", "junk", "junk") for i, t in EDGE], SCHEMA)
 
 
+def test_added_tokens_are_those_of_the_library(hf):
+    """The library as its contract says, called without any setting."""
+    with open(JSON, encoding="utf-8") as f:
+        text = f.read()
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "no <|endoftext|", None, "", "x<|endoftext|>y  <|endoftext|>\n", "<|ENDOFTEXT|>"]
+    for by_ranks in (False, True):
+        assert tokens.encoder(text, by_ranks).encode(texts) == [u32(hf(t)) for t in texts]
+    assert hf("a <|endoftext|> b") == [64, 220, 50256, 275]
+    with pytest.raises(ValueError):
+        tokens.WithAdded(None, [{"content": "x", "id": 1, "lstrip": True}])
+
+
+def test_long_texts_without_a_space_are_not_remembered():
+    with open(JSON, encoding="utf-8") as f:
+        enc = tokens.Encoder(f.read())
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefgh") for _ in range(5000)) for _ in range(20)]
+    first = enc.encode(texts)
+    assert all(len(k) <= 64 for k in enc.memo) and enc.encode(texts) == first
+    assert first[0] == u32(Tokenizer.from_file(JSON).encode(texts[0], add_special_tokens=False).ids)
+    with open(RANKS, "rb") as f:
+        words = bpe.WordIds(bpe.load_ranks(f.read()))
+    bpe.ChunkIds(words, _pattern())[texts[0]]
+    assert all(len(k) <= 64 for k in words)
+
+
 def u32(ids):
     return np.array(ids, "<u4").tobytes()
 
