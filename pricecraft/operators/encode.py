@@ -18,7 +18,7 @@ from ..functions.dates import QUARTER_SEASONS
 from ..functions.scalars import MISSING_LABEL, UNKNOWN_LABEL, md5_order
 from .groupstats import global_mean
 from .joins import ScalarRow, checked_broadcast, left_join_params
-from .prefix import dense_codes, hash_segment, prefix_sums, value_segment
+from .prefix import dense_codes, hash_segment, prefix_sums, range_ranks
 from .quantiles import quantile_columns
 
 # ---------------------------------------------------------------- target mean
@@ -164,8 +164,7 @@ def fit_first_seen_codes(train: DataFrame, col: str, order_col: str) -> DataFram
     """Codes in order of first appearance (by ``order_col``)."""
     first = (train.where(F.col(col).isNotNull()).groupBy(col)
                   .agg(F.min(order_col).alias("_first")))
-    ranked = prefix_sums(first.withColumn("_one", F.lit(1).cast("long")), [], ["_first", col], ["_one"], value_segment(first, "_first", 64))
-    return ranked.select(col, F.col("_one_before").cast("int").alias(f"{col}_code"))
+    return range_ranks(first, [], ["_first", col], f"{col}_code").select(col, f"{col}_code")
 
 
 def cast_category_str(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -26,6 +26,65 @@ def holdout_split(df: DataFrame, key: str, valid_pct: int = 20, col: str = "spli
     return df.withColumn(col, F.when(split_bucket(key) < valid_pct, "valid").otherwise("train"))
 
 
+# Rows of one hash value up to which a cut is found by sorting them.
+CUT_ROWS = 10_000
+_CUT_BITS = 15
+
+
+def hash_cut(df: DataFrame, key: str, n: int) -> tuple[int, str] | None:
+    """(number, text) such that exactly ``n`` rows have a (60-bit number of
+    md5(key), md5(key) and key) up to it; None if no row is wanted.
+
+    The hash's high bits are counted, the one value that holds the cut is
+    counted by its next bits, until so few rows are left that they can be
+    sorted; no task holds ``n`` rows.  Runs when called.  Rows of equal key
+    stand or fall together only by chance: keys should be unique.
+    """
+    if n <= 0:
+        return None
+    text = F.md5(F.col(key).cast("string"))
+    d = df.select(F.conv(F.substring(text, 1, 15), 16, 10).cast("long").alias("h"), F.concat(text, F.col(key).cast("string")).alias("t")).where("t IS NOT NULL")
+    low, bits, left = 0, 60, n
+    while bits > 0:
+        bits = max(0, bits - _CUT_BITS)
+        place = F.shiftright(F.col("h"), bits)
+        counts = d.groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()        # 2^15 rows at most
+        for r in counts:
+            if left <= r["n"]:
+                break
+            left -= r["n"]
+        else:
+            return (1 << 60), ""                    # fewer rows than wanted: all of them
+        low = r["b"] << bits
+        d = d.where((F.col("h") >= low) & (F.col("h") < low + (1 << bits)))
+        if r["n"] <= CUT_ROWS:
+            break
+    last = d.orderBy("t").limit(left).agg(F.max(F.struct("t", "h")).alias("x")).first()["x"]       # CUT_ROWS rows at most
+    return last["h"], last["t"]
+
+
+def _up_to(key: str, cut: tuple[int, str] | None) -> F.Column:
+    if cut is None:
+        return F.lit(False)
+    if cut[1] == "":
+        return F.col(key).isNotNull()
+    text = F.md5(F.col(key).cast("string"))
+    return F.coalesce(F.concat(text, F.col(key).cast("string")) <= cut[1], F.lit(False))
+
+
+def random_sample_n(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Exactly ``n`` rows without replacement (all, if fewer): the first in the
+    order of md5(key).  Finding the cut runs when called; NULL keys are never drawn."""
+    return df.where(_up_to(key, hash_cut(df, key, n)))
+
+
+def holdout_split_exact(df: DataFrame, key: str, valid_share: float = 0.2, col: str = "split") -> DataFrame:
+    """Tag exactly round(share x rows) rows 'valid', by hash of the key, the
+    others 'train' (repeatable, partition-independent)."""
+    n = df.where(F.col(key).isNotNull()).count()
+    return df.withColumn(col, F.when(_up_to(key, hash_cut(df, key, round(valid_share * n))), "valid").otherwise("train"))
+
+
 def split_frames(df: DataFrame, key: str, valid_pct: int = 20) -> tuple[DataFrame, DataFrame]:
     b = split_bucket(key)
     return df.where(b >= valid_pct), df.where(b < valid_pct)

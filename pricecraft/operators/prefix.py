@@ -2,12 +2,12 @@
 
 ``SUM(m) OVER (PARTITION BY k ORDER BY o ROWS UNBOUNDED PRECEDING AND 1 PRECEDING)``
 sends every row of a key to one task.  Here a key is cut into segments by a
-column that never falls along the order and depends on the row alone: the high
-bits of a hash order, or the place of a value among fixed bounds.  Segment
-totals are partial aggregates, a window over them (keys x segments rows) gives
+column that never falls along the order and depends on the row alone, such as
+the high bits of a hash order.  Segment totals are partial aggregates, a window over them (keys x segments rows) gives
 each segment's offset, and the running sum inside a segment is a window
 partitioned by key and segment.  Everything is JVM-side, and no step relies on
-two reads of a shuffle being cut alike.
+two reads of a shuffle being cut alike.  Orders of values are cut into range
+partitions instead, which are written before they are counted (``range_ranks``).
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ..session import shared_path
 
 # Segments of a hash order (a power of two).
 SEGMENTS = 1024
-# Sample of distinct values from which the bounds of a value order are taken.
-BOUND_SAMPLE = 16_384
 
 
 def hash_segment(order: Column, bits: int = 32, segments: int = SEGMENTS) -> Column:
@@ -28,27 +29,6 @@ def hash_segment(order: Column, bits: int = 32, segments: int = SEGMENTS) -> Col
     return F.shiftright(order, bits - (segments - 1).bit_length()).cast("int")
 
 
-def value_segment(df: DataFrame, col: str, segments: int = SEGMENTS) -> Column:
-    """The place of ``col`` among bounds taken from a bounded sample of the
-    rows (first by hash of the value); any bounds give right results, the
-    sample only evens out the segments."""
-    sample = df.select(col).where(F.col(col).isNotNull()).orderBy(F.xxhash64(col), col).limit(BOUND_SAMPLE).distinct().orderBy(col)
-    values = [r[0] for r in sample.collect()]
-    step = max(1, len(values) // segments)
-    bounds = values[step::step]
-    if not bounds:
-        return F.lit(0)
-    # binary search over the literal bounds, as nested conditions
-    c = F.col(col)
-
-    def place(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(bounds[mid]), place(lo, mid)).otherwise(place(mid + 1, hi))
-    return place(0, len(bounds)) if len(bounds) <= 256 else F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= c))
-
-
 def prefix_sums(df: DataFrame, keys: Sequence[str], orders: Sequence[str], measures: Sequence[str], segment: Column) -> DataFrame:
     """Add ``<m>_before`` = sum of ``m`` over earlier rows of the same key.
 
@@ -65,10 +45,32 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], orders: Sequence[str], measu
     return j.select(*cols, *((F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"_px_off_{m}")).alias(f"{m}_before") for m in measures))
 
 
+def range_ranks(df: DataFrame, keys: Sequence[str], orders: Sequence[str], out: str) -> DataFrame:
+    """Add ``out``: the 0-based place of each row of its key in the order of
+    ``orders`` (unique within a key; keys must not be NULL).
+
+    Rows are range-partitioned by key and order into as many parts as the
+    session has shuffle partitions and written so to the shared folder, which
+    runs when the function is called: the parts must not be cut anew.  A row's
+    place is its place inside its part, by a window over that part, and the rows
+    of its key in the parts before, from one count per key and part.
+    """
+    keys, orders, spark = list(keys), list(orders), df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_path(spark, "ranks", "t")
+    df.repartitionByRange(n, *keys, *orders).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    cut = spark.read.schema(StructType([*df.schema.fields, StructField("_part", IntegerType())])).parquet(path)
+    counts = cut.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))       # keys x parts rows
+    inside = Window.partitionBy(*keys, "_part").orderBy(*orders)
+    ranked = cut.withColumn("_at", F.row_number().over(inside) - 1)
+    return ranked.join(before, [*keys, "_part"]).select(*df.columns, (F.col("_at") + F.col("_before")).cast("int").alias(out))
+
+
 def dense_codes(df: DataFrame, value_col: str, keys: Sequence[str] = (), code_col: str = "code") -> DataFrame:
     """Distinct non-NULL values of ``value_col`` (per key) with 0-based sorted
     codes: ``dense_rank() - 1`` over distinct values, in bounded tasks."""
     keys = list(keys)
-    d = df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
-    return prefix_sums(d, keys, [value_col], ["_one"], value_segment(d, value_col, 64)) \
-        .select(*keys, value_col, F.col("_one_before").cast("int").alias(code_col))
+    d = df.select(*keys, value_col).where(F.col(value_col).isNotNull()).distinct()
+    return range_ranks(d, keys, [value_col], code_col).select(*keys, value_col, code_col)

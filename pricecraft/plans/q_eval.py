@@ -41,7 +41,7 @@ def q_cumulative_importance_select(spark, sf):
 @register("random_sample_n", "SELECT sale_key, price FROM train ORDER BY md5(sale_key) LIMIT 5000")
 def q_random_sample_n(spark, sf):
     """5,000 rows without replacement in a repeatable pseudo-random order."""
-    return TRAIN(spark, sf).orderBy(F.md5("sale_key")).limit(5000).select("sale_key", "price")
+    return EVO.random_sample_n(TRAIN(spark, sf).select("sale_key", "price"), "sale_key", 5000)
 
 
 @register("scatter_sample", """
@@ -50,7 +50,7 @@ UNION ALL SELECT sale_key, 'power', CAST(power AS DOUBLE), price FROM s
 UNION ALL SELECT sale_key, 'car_age', CAST(car_age AS DOUBLE), price FROM s""",
           ctes=TF_CTES + ", s AS (SELECT * FROM tf WHERE source = 'train' ORDER BY md5(sale_key) LIMIT 5000)")
 def q_scatter_sample(spark, sf):
-    s = FE.time_features(TRAIN(spark, sf), AS_OF_YEAR).orderBy(F.md5("sale_key")).limit(5000)
+    s = EVO.random_sample_n(FE.time_features(TRAIN(spark, sf), AS_OF_YEAR), "sale_key", 5000)
     return s.select("sale_key", "price", F.explode(F.array(
         F.struct(F.lit("kilometer").alias("feature"), F.col("kilometer").cast("double").alias("x")),
         F.struct(F.lit("power").alias("feature"), F.col("power").cast("double").alias("x")),
@@ -65,6 +65,14 @@ def q_holdout_split(spark, sf):
     return EVO.holdout_split(TRAIN(spark, sf), "sale_key", VALID_PCT).select("sale_key", "split")
 
 
+@register("holdout_split_exact", """
+SELECT sale_key, CASE WHEN row_number() OVER (ORDER BY md5(sale_key)) <= (SELECT round(0.2 * count(*)) FROM train) THEN 'valid' ELSE 'train' END AS split
+FROM train""")
+def q_holdout_split_exact(spark, sf):
+    """A hold-out of exactly 20 % of the rows."""
+    return EVO.holdout_split_exact(TRAIN(spark, sf).select("sale_key"), "sale_key", 0.2)
+
+
 @register("early_stop_point", f"""
 SELECT set, best_iteration, best_value, coalesce(stop_iteration, last_iteration) AS stop_iteration FROM (
   SELECT set, min(iteration) FILTER (WHERE rmse = best) AS best_iteration, min(best) AS best_value,

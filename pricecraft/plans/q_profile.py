@@ -324,18 +324,18 @@ def q_histogram_many(spark, sf):
 
 
 @register("density_grid", """
-SELECT i, start + i * step AS x, sum(cnt * exp(-0.5 * power((start + i * step - (mn + (b + 0.5) * w)) / h, 2)))
+SELECT i, start + i * step AS x,
+       coalesce(sum(c * exp(-0.5 * power((start + i * step - (mn + b * w)) / h, 2))) FILTER (abs(start + i * step - (mn + b * w)) <= 8 * h), 0)
        / (n * h * sqrt(2 * pi())) AS density
-FROM kb CROSS JOIN ks CROSS JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(100)) g
+FROM ks CROSS JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(1000)) g CROSS JOIN kb
 GROUP BY i, start, step, n, h""", ctes="""
-ks AS (SELECT count(price) AS n, min(price) AS mn, max(price) AS mx, stddev_samp(price) AS sd,
-              (max(price) - min(price)) / 512 AS w, stddev_samp(price) * power(count(price), -0.2) AS h,
-              min(price) - (max(price) - min(price)) * 0.5 AS start, (max(price) - min(price)) * 2.0 / 99 AS step
-       FROM train),
-kb AS (SELECT CAST(least(coalesce(floor((price - mn) / w), 0), 511) AS INTEGER) AS b, count(*) AS cnt
-       FROM train, ks WHERE price IS NOT NULL GROUP BY 1)""", rounds={"x": 6, "density": 15})
+k0 AS (SELECT count(price) AS n, min(price) AS mn, max(price) AS mx, stddev_samp(price) * power(count(price), -0.2) AS h FROM train),
+ks AS (SELECT n, mn, mx, h, h / 64 AS w, mn - (mx - mn) * 0.5 AS start, (mx - mn) * 2.0 / 999 AS step FROM k0),
+kv AS (SELECT (price - mn) / w AS pos FROM train, ks WHERE price IS NOT NULL),
+kb AS (SELECT b, sum(c) AS c FROM (SELECT floor(pos) AS b, 1 - (pos - floor(pos)) AS c FROM kv UNION ALL SELECT floor(pos) + 1, pos - floor(pos) FROM kv) GROUP BY b)""",
+          rounds={"x": 6, "density": 14})
 def q_density_grid(spark, sf):
-    return P.density_grid(TRAIN(spark, sf), "price", 100, 512)
+    return P.density_grid(TRAIN(spark, sf), "price")
 
 
 @register("boxplot_stats", """
