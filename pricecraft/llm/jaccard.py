@@ -16,8 +16,10 @@ join is exact and never compares all pairs:
     linked document must be.  The document is copied to those regions.
 4.  Inside a region documents are pivots.  First every region compares its
     documents with one pivot, by rows, and the links found join components.
-    A region that still holds several is then joined in one task if its
-    shingles number at most ``SOLVE``: the task takes documents outside the
+    Regions that still hold several are then put together by their largest
+    component, since those of one crowd of near copies hold much the same
+    documents, which so travel once; a group is joined in one task if its
+    shingles number at most ``SOLVE``, else region by region.  The task takes documents outside the
     largest component as pivots one after another, each against all of other
     components, until every pair of different components has been seen, and
     sends a spanning forest of the links, no pairs.  Larger regions are split:
@@ -45,7 +47,8 @@ WORDS = 5
 PERCENT = 80
 SLICE_BYTES = 1 << 20
 BLOCK_DOCS = 16_384
-SOLVE = 2 << 20             # shingles of a region that one task joins (16 MB)
+SOLVE = 4 << 20             # shingles of a group of regions that one task joins (32 MB)
+BUCKET = 4 << 20            # shingles of the corpus to a bucket of the count in step 2; half of them are counted
 
 
 def least_overlap(n: Column, percent: int = PERCENT) -> Column:
@@ -301,6 +304,16 @@ def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT) ->
         .repartition(2 * partitions(rows.sparkSession), "region").sortWithinPartitions("region").mapInArrow(run, "a long, b long")
 
 
+def together(rows: DataFrame, solve: int) -> DataFrame:
+    """(region, doc_id, label): regions of one largest component as one, if
+    they are small enough together."""
+    one = rows.select("major", "doc_id", "n", "label").distinct()
+    fits = one.groupBy("major").agg((F.sum("n") <= solve).alias("fits"))
+    joined = one.join(fits.where("fits"), "major").select(F.xxhash64("major", F.lit("major")).alias("region"), "doc_id", "label")
+    apart = rows.join(fits.where("NOT fits"), "major").select("region", "doc_id", "label")
+    return joined.unionByName(apart)
+
+
 def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCENT, solve: int = SOLVE) -> tuple[DataFrame | None, DataFrame | None]:
     """((id, root) of all points with a link, links (a, b) that span them), or
     Nones without any: the recursive join of the regions."""
@@ -313,10 +326,10 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
                                                     F.sum(F.xxhash64("doc_id") % (1 << 40)).alias("k1"),
                                                     F.sum(F.xxhash64("doc_id", F.lit(1)) % (1 << 40)).alias("k2"))
         state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("labels"), F.sum("c").alias("m"), F.sum("size").alias("size"),
-                                            F.sum("k1").alias("k1"), F.sum("k2").alias("k2")).where("labels > 1")
+                                            F.max(F.struct("c", "label"))["label"].alias("major"), F.sum("k1").alias("k1"), F.sum("k2").alias("k2")).where("labels > 1")
         # the first level has a pivot in every region; what is left of those of bounded size is joined in tasks
         in_task = F.lit(False) if level == 0 else F.col("size") <= solve
-        open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", in_task.alias("in_task"), (F.col("size") <= solve).alias("small"))).alias("r")).select("r.*")
+        open_ = state.groupBy("m", "k1", "k2").agg(F.min(F.struct("region", "major", in_task.alias("in_task"), (F.col("size") <= solve).alias("small"))).alias("r")).select("r.*")
         active = save(rows.join(open_, "region"), "regions")
         drop(rows)
         rows = active
@@ -334,7 +347,7 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
                 new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
             found = save(distances(new, points), "distances")
             known = found if known is None else save(known.unionByName(found), "distances")
-        links = solve_regions(rows.where("in_task"), points, percent) if level else None
+        links = solve_regions(together(rows.where("in_task"), solve), points, percent) if level else None
         if found is not None:
             direct = found.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
             links = direct if links is None else links.unionByName(direct)
@@ -394,7 +407,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS,
     total = whole.agg(F.sum("n_shingles")).first()[0] or 0
     # ids with several sets: no count of their own, always points, and linked among themselves
     odd = save(whole.groupBy("doc_id").agg(F.min("point").alias("first"), F.max("point").alias("last")).where("first <> last"), "odd")
-    half = shared_counts(src.where("doc_id IS NOT NULL"), max(16, total >> 21), k)
+    half = shared_counts(src.where("doc_id IS NOT NULL"), max(16, total // BUCKET), k)
     enough = F.col("shared") >= F.col("n_half") - (F.col("n_shingles") - least_overlap(F.col("n_shingles"), percent))
     able = classes.join(half.withColumnRenamed("doc_id", "rep"), "rep").where(enough).select("point", "rep") \
         .unionByName(classes.join(odd.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("point", "rep")).distinct()
