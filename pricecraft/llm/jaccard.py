@@ -30,8 +30,8 @@ join is exact and never compares all pairs:
     those beyond 2e are copied.  Regions are joined recursively.
 
 Points are classes of equal sets, named by a hash of the set, so rows that
-share a doc_id cannot be taken for each other.  Shingles are 64-bit hashes; a
-point's array of them is what travels, once for each region it is in.
+share a doc_id cannot be taken for each other.  Shingles are 64-bit hashes; the
+texts travel, since hashes do not compress.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop, mix64, partitions, save, shingle_sets, text_buffer, text_chunks
+from .common import connected_components, drop, mix64, partitions, save, shingle_sets, text_chunks
 
 WORDS = 5
 PERCENT = 80
@@ -82,19 +82,17 @@ def class_id() -> Column:
     return F.xxhash64("n_shingles", "s1", "s2")
 
 
-def hash_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(row_id, n_shingles long, s1, s2, h binary): sets with their sorted hashes."""
+def with_class(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(n_shingles long, s1, s2, text): texts with the size and sums of their set."""
 
     def run(batches):
         for b in batches:
             for part in text_chunks(b, SLICE_BYTES):
-                h, ends = shingle_sets(part.column(1), k)
-                raw, ends_ = h.tobytes(), (ends * 8).tolist()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends)), *map(pa.array, set_sums(h, ends)),
-                                                  pa.array([raw[x:y] for x, y in zip(ends_, ends_[1:])], pa.binary())],
-                                                 names=["row_id", "n_shingles", "s1", "s2", "h"])
+                h, ends = shingle_sets(part.column(0), k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.diff(ends)), *map(pa.array, set_sums(h, ends)), part.column(0)],
+                                                 names=["n_shingles", "s1", "s2", "text"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "row_id long, n_shingles long, s1 long, s2 long, h binary")
+    return docs.select("text").mapInArrow(run, "n_shingles long, s1 long, s2 long, text string")
 
 
 # ---------------------------------------------------------------- step 2
@@ -109,7 +107,7 @@ def shared_counts(docs: DataFrame, buckets: int, k: int = WORDS) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for b in (p for s in batch_slices(batch) for p in text_chunks(s, 8 * SLICE_BYTES, BLOCK_DOCS)):
+            for b in (p for s in batch_slices(batch) for p in text_chunks(s, 4 * SLICE_BYTES, BLOCK_DOCS)):
                 hs, ds = [], []
                 at = 0
                 for part in text_chunks(b, SLICE_BYTES):
@@ -185,30 +183,24 @@ def batch_slices(batch: pa.RecordBatch, rows: int = BLOCK_DOCS):
 
 # ---------------------------------------------------------------- step 3
 
-def hash_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets) of binary values."""
-    data, off = text_buffer(column)
-    return np.frombuffer(data.tobytes(), np.uint64), off // 8
-
-
-def explode_shingles(points: DataFrame) -> DataFrame:
+def explode_shingles(points: DataFrame, k: int = WORDS) -> DataFrame:
     """(doc_id, shingle long) of every shingle of every point."""
 
     def run(batches):
         for b in batches:
-            for part in text_chunks(b, SLICE_BYTES, column="h"):
-                h, ends = hash_arrays(part.column(1))
+            for part in text_chunks(b, SLICE_BYTES):
+                h, ends = shingle_sets(part.column(1), k)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), np.diff(ends))),
                                                   pa.array(h.view(np.int64))], names=["doc_id", "shingle"])
 
-    return points.select("doc_id", "h").mapInArrow(run, "doc_id long, shingle long")
+    return points.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
 
 
-def voronoi_windows(points: DataFrame, percent: int = PERCENT) -> DataFrame:
+def voronoi_windows(points: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """(region long, doc_id, n, rank double): every point in the regions of its
     window, regions of one point left out; rank orders pivots, points with
     few shingles of their own first."""
-    posts = save(explode_shingles(points), "postings")
+    posts = save(explode_shingles(points, k), "postings")
     common = posts.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = posts.join(common, "shingle").select("doc_id", "shingle", "df")
     per_doc = shared.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))   # one document's shingles
@@ -222,17 +214,17 @@ def voronoi_windows(points: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 # ---------------------------------------------------------------- step 4
 
-def distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
+def distances(pairs: DataFrame, points: DataFrame, k: int = WORDS) -> DataFrame:
     """(a, b, common, whole) of pairs (a, b): sizes of intersection and union."""
-    one = points.select(F.col("doc_id").alias("a"), F.col("h").alias("h_a"))
-    other = points.select(F.col("doc_id").alias("b"), F.col("h").alias("h_b"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "h_a", "h_b")
+    one = points.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    other = points.select(F.col("doc_id").alias("b"), F.col("text").alias("text"))
+    both = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text")
 
     def run(batches):
         for batch in batches:
-            for part in text_chunks(batch, SLICE_BYTES, column="h_a"):
-                ha, ea = hash_arrays(part.column(2))
-                hb, eb = hash_arrays(part.column(3))
+            for part in text_chunks(batch, SLICE_BYTES):
+                ha, ea = shingle_sets(part.column(2), k)
+                hb, eb = shingle_sets(part.column(3), k)
                 common = np.array([len(np.intersect1d(ha[ea[i]:ea[i + 1]], hb[eb[i]:eb[i + 1]], assume_unique=True)) for i in range(part.num_rows)], np.int64)
                 whole = np.diff(ea) + np.diff(eb) - common
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common), pa.array(whole)], names=["a", "b", "common", "whole"])
@@ -275,7 +267,7 @@ def forest(labels: np.ndarray, h: np.ndarray, ends: np.ndarray, percent: int = P
             many = np.bincount(comp, minlength=m)
 
 
-def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
+def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT, k: int = WORDS) -> DataFrame:
     """(a, b) links that span the components of each region (region, doc_id,
     label), one region at a time in a task."""
 
@@ -291,16 +283,17 @@ def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT) ->
                     a, b = (np.array([held[p[i]][0] for p in links]) for i in (0, 1))
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-        for batch in batches:
-            h, ends = hash_arrays(batch.column(3))
-            for i, (r, d, x) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
-                if r != region:
-                    yield from solved()
-                    region, held = r, []
-                held.append((d, x, h[ends[i]:ends[i + 1]]))
+        for whole in batches:
+            for batch in text_chunks(whole, SLICE_BYTES):
+                h, ends = shingle_sets(batch.column(3), k)
+                for i, (r, d, x) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+                    if r != region:
+                        yield from solved()
+                        region, held = r, []
+                    held.append((d, x, h[ends[i]:ends[i + 1]].copy()))
         yield from solved()
 
-    return rows.join(points.select("doc_id", "h"), "doc_id").select("region", "doc_id", "label", "h") \
+    return rows.join(points.select("doc_id", "text"), "doc_id").select("region", "doc_id", "label", "text") \
         .repartition(2 * partitions(rows.sparkSession), "region").sortWithinPartitions("region").mapInArrow(run, "a long, b long")
 
 
@@ -314,7 +307,8 @@ def together(rows: DataFrame, solve: int) -> DataFrame:
     return joined.unionByName(apart)
 
 
-def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCENT, solve: int = SOLVE) -> tuple[DataFrame | None, DataFrame | None]:
+def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCENT, k: int = WORDS,
+                    solve: int = SOLVE) -> tuple[DataFrame | None, DataFrame | None]:
     """((id, root) of all points with a link, links (a, b) that span them), or
     Nones without any: the recursive join of the regions."""
     e = 1 - percent / 100.0
@@ -345,9 +339,9 @@ def link_components(windows: DataFrame, points: DataFrame, percent: int = PERCEN
             new = to_pivot.select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
             if known is not None:
                 new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
-            found = save(distances(new, points), "distances")
+            found = save(distances(new, points, k), "distances")
             known = found if known is None else save(known.unionByName(found), "distances")
-        links = solve_regions(together(rows.where("in_task"), solve), points, percent) if level else None
+        links = solve_regions(together(rows.where("in_task"), solve), points, percent, k) if level else None
         if found is not None:
             direct = found.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
             links = direct if links is None else links.unionByName(direct)
@@ -413,9 +407,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS,
         .unionByName(classes.join(odd.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("point", "rep")).distinct()
     able = save(able, "able")
     texts = src.join(able.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    points = save(hash_sets(texts, k).withColumn("doc_id", class_id()).join(able.select(F.col("point").alias("doc_id")), "doc_id", "left_semi")
-                  .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "h"), "points")
-    labels, edges = link_components(voronoi_windows(points, percent), points, percent, solve)
+    points = save(with_class(texts, k).withColumn("doc_id", class_id()).join(able.select(F.col("point").alias("doc_id")), "doc_id", "left_semi")
+                  .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "text"), "points")
+    labels, edges = link_components(voronoi_windows(points, percent, k), points, percent, k, solve)
     if odd.take(1):
         same = whole.join(odd, "doc_id").select(F.col("first").alias("a"), F.col("point").alias("b")).where("a <> b").distinct()
         labels = save(connected_components(same if edges is None else edges.unionByName(same)), "labels")
