@@ -29,8 +29,8 @@ GBT_ROUNDS = 60
 EARLY = dict(rounds=500, step=0.01, depth=7, patience=20)
 EARLY_MAE = dict(rounds=3000, step=0.03, depth=6, l2=3.0, subsample=1.0, feature_share=1.0)
 QUICK = dict(rounds=100, depth=5, step=0.05, subsample=1.0, feature_share=1.0)
-# The source waits 100 rounds here.
-MAE_PATIENCE = 20
+# Rounds after the selection, and of patience (the source waits 100 rounds).
+REFIT_ROUNDS, MAE_PATIENCE = 20, 20
 
 
 def _once(spark, sf, name, make):
@@ -105,7 +105,7 @@ def q_fit_gbt_mae(spark, sf):
 def q_fit_select_refit(spark, sf):
     """Quick fit, the features of 85 % of its importance, fit on these."""
     tr, va, _ = _frames(spark, sf)
-    quick, kept, model = BT.select_and_refit(tr, "price", NUMBERS, FE.CATEGORICAL, 0.85, QUICK, key=FE.KEY, rounds=GBT_ROUNDS)
+    quick, kept, model = BT.select_and_refit(tr, "price", NUMBERS, FE.CATEGORICAL, 0.85, QUICK, key=FE.KEY, rounds=REFIT_ROUNDS)
     both = _metrics(quick, va).withColumn("model", F.lit("quick")).withColumn("n_features", F.lit(len(quick.binning.features)))
     return both.unionByName(_metrics(model, va).withColumn("model", F.lit("selected")).withColumn("n_features", F.lit(len(kept))))
 
