@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import crc_mod, text_chunks, worker_store
 
@@ -151,12 +152,16 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
     score is the cosine with the language's prototype, 0 where negative.
     Null texts, texts without a letter, and all texts if nothing was learned,
     get ``und`` and score 0; of equal cosines the first name wins; repeated
-    rows stay repeated; columns that are not carried are left behind.
+    rows stay repeated; an empty table gives none; columns that are not carried
+    are left behind, carried ones may have any names but ``names``.
     """
+    if clash := set(names) & set(carry):
+        raise ValueError(f"carried columns have the names of the result: {sorted(clash)}")
     langs = sorted(prototypes)
     unit = np.array([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in langs], np.float32).reshape(len(langs), dim)
-    sel = docs.select(*carry, F.col("text").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sel.schema.fields[:-1])
+    own = [f"_c{i}" for i in range(len(carry))]
+    sel = docs.select(*(docs[c].alias(n) for c, n in zip(carry, own)), docs["text"].alias("_text"))
+    schema = StructType([*sel.schema.fields[:-1], StructField("_pred", StringType()), StructField("_score", DoubleType())])
 
     def run(batches):
         b_ = bundler(dim)
@@ -174,9 +179,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM,
                 else:
                     pred, score = [UND] * n, np.zeros(n)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score.astype(np.float64))],
-                                                 names=[*part.schema.names[:-1], *names])
+                                                 names=[*part.schema.names[:-1], "_pred", "_score"])
 
-    return sel.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
+    return sel.mapInArrow(run, schema).select(*(F.col(n).alias(c) for c, n in zip(carry, own)), F.col("_pred").alias(names[0]), F.col("_score").alias(names[1]))
 
 
 def identify_held_out(docs: DataFrame, dim: int = DIM) -> DataFrame:

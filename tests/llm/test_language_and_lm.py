@@ -171,3 +171,12 @@ def test_contexts_outside_the_trie_count(spark):
     rows = frame(spark, EDGE + [tuple(r) for r in rows_of(spark)[:40]])
     whole, small = ([x for _, x in sorted((str(r.doc_id), r.score) for r in ppm.held_out_scores(rows, max_contexts=k).collect())] for k in (1 << 24, 40))
     assert np.allclose(whole, small, rtol=1e-6)
+
+
+def test_carried_columns_may_have_the_names_used_inside(spark):
+    df = spark.createDataFrame([("the cat and the mat", "a", "b", 1), (None, None, "d", 2)], "text string, _text string, _score string, _c0 int")
+    known = langid.learn_prototypes(spark.createDataFrame([("the cat sat on the mat", "en"), ("der hund und die katze", "de")], "text string, lang string"))
+    got = langid.identify(df, known, carry=tuple(df.columns), names=("l", "s")).orderBy("_c0").collect()
+    assert [(r._text, r._score, r._c0, r.l) for r in got] == [("a", "b", 1, "en"), (None, "d", 2, langid.UND)]
+    with pytest.raises(ValueError):
+        langid.identify(df, known, carry=("_text",), names=("_text", "s"))
