@@ -39,7 +39,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     held = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
     known = langid.learn_prototypes(docs.where(~held))
-    pred, score = "_lang_pred", "_lang_score"
+    pred, score = (max([name, *(c + "_" for c in docs.columns if c.startswith(name))], key=len) for name in ("_lang_pred", "_lang_score"))
     found = langid.identify(docs, known, carry=tuple(docs.columns), names=(pred, score))
     return found.where((F.col(pred) != langid.UND) & (F.col(score) >= MIN_COSINE)).drop(pred, score)
 
