@@ -259,8 +259,15 @@ class _Loop:
         old, self.path = self.path, shared_path(self.spark, "boosting", "rows")
         rows.write.parquet(self.path)
         if old:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(old)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            self._delete(old)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def close(self) -> None:
+        """Delete the stored rows; nothing of the model reads them."""
+        self._delete(self.path)
 
     @property
     def rows(self) -> DataFrame:
@@ -467,6 +474,7 @@ def fit_boosted(train: DataFrame, label: str, numeric: Sequence[str], nominal: S
         model.rounds_run = number
         if len(loop.pending) >= write_every and number < rounds:
             loop.write_scores()
+    loop.close()
     if patience is not None and valid is not None:
         model.trees = model.trees[:best_round]
     model.history.sort(key=lambda h: (h[0], h[1]))
