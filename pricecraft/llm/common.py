@@ -45,6 +45,16 @@ def drop(*dfs: DataFrame | None) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Rows of a table of a few longs a row that may be broadcast to a table of texts (64 MB as pairs of longs).
+BROADCAST_ROWS = 1 << 22
+
+
+def few(df: DataFrame) -> bool:
+    """Whether ``df``, a saved table, may be broadcast; runs a count.  Beyond
+    the bound its joins are shuffle joins, with the same result."""
+    return df.count() <= BROADCAST_ROWS
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,7 +31,9 @@ join is exact and never compares all pairs:
 
 Points are classes of equal sets, named by a hash of the set, so rows that
 share a doc_id cannot be taken for each other.  Shingles are 64-bit hashes; the
-texts travel, since hashes do not compress.
+texts travel, since hashes do not compress.  Ids that choose texts are sent to
+the texts where their number is bounded (``common.few``), so only chosen texts
+are shuffled; beyond the bound texts are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop, mix64, partitions, save, shingle_sets, text_chunks
+from .common import connected_components, drop, few, mix64, partitions, save, shingle_sets, text_chunks
 
 WORDS = 5
 PERCENT = 80
@@ -216,9 +218,15 @@ def voronoi_windows(points: DataFrame, percent: int = PERCENT, k: int = WORDS) -
 
 def distances(pairs: DataFrame, points: DataFrame, k: int = WORDS) -> DataFrame:
     """(a, b, common, whole) of pairs (a, b): sizes of intersection and union."""
+    pairs = save(pairs, "pairs")
     one = points.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     other = points.select(F.col("doc_id").alias("b"), F.col("text").alias("text"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text")
+    if few(pairs):
+        one = one.join(F.broadcast(pairs), "a")
+        other = other.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
+    else:
+        one = pairs.join(one, "a")
+    both = one.join(other, "b").select("a", "b", "text_a", "text")
 
     def run(batches):
         for batch in batches:
@@ -293,7 +301,9 @@ def solve_regions(rows: DataFrame, points: DataFrame, percent: int = PERCENT, k:
                     held.append((d, x, h[ends[i]:ends[i + 1]].copy()))
         yield from solved()
 
-    return rows.join(points.select("doc_id", "text"), "doc_id").select("region", "doc_id", "label", "text") \
+    rows = save(rows, "solve")
+    side = F.broadcast(rows) if few(rows) else rows
+    return points.select("doc_id", "text").join(side, "doc_id").select("region", "doc_id", "label", "text") \
         .repartition(2 * partitions(rows.sparkSession), "region").sortWithinPartitions("region").mapInArrow(run, "a long, b long")
 
 
@@ -384,6 +394,22 @@ def _next_regions(near: DataFrame, pivots: DataFrame, e: float, level: int) -> D
 
 # ---------------------------------------------------------------- the join
 
+def _points(src: DataFrame, able: DataFrame, odd: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, text): a text of each class (point, rep,
+    n_shingles) of ``able``, with the class as doc_id."""
+    ids = odd.select(F.col("doc_id").alias("rep"))
+    # an id with one set names its class; any of its texts with a word will do
+    one = able.join(ids, "rep", "left_anti").withColumnRenamed("rep", "doc_id")
+    named = src.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).join(F.broadcast(one) if few(able) else one, "doc_id") \
+        .dropDuplicates(["doc_id"]).select(F.col("point").alias("doc_id"), "n_shingles", "text")
+    if not odd.take(1):
+        return named
+    several = with_class(src.join(odd.select("doc_id"), "doc_id", "left_semi"), k).withColumn("doc_id", class_id()) \
+        .join(able.join(ids, "rep", "left_semi").select(F.col("point").alias("doc_id")), "doc_id", "left_semi") \
+        .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "text")
+    return named.unionByName(several)
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS, solve: int = SOLVE) -> DataFrame:
     """(doc_id, n_shingles long, component_id long) of every row of ``docs``
     (doc_id, text): component_id is the smallest doc_id reachable by links.
@@ -403,12 +429,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, k: int = WORDS,
     odd = save(whole.groupBy("doc_id").agg(F.min("point").alias("first"), F.max("point").alias("last")).where("first <> last"), "odd")
     half = shared_counts(src.where("doc_id IS NOT NULL"), max(16, total // BUCKET), k)
     enough = F.col("shared") >= F.col("n_half") - (F.col("n_shingles") - least_overlap(F.col("n_shingles"), percent))
-    able = classes.join(half.withColumnRenamed("doc_id", "rep"), "rep").where(enough).select("point", "rep") \
-        .unionByName(classes.join(odd.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("point", "rep")).distinct()
+    able = classes.join(half.withColumnRenamed("doc_id", "rep"), "rep").where(enough).select("point", "rep", "n_shingles") \
+        .unionByName(classes.join(odd.select(F.col("doc_id").alias("rep")), "rep", "left_semi").select("point", "rep", "n_shingles")).distinct()
     able = save(able, "able")
-    texts = src.join(able.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    points = save(with_class(texts, k).withColumn("doc_id", class_id()).join(able.select(F.col("point").alias("doc_id")), "doc_id", "left_semi")
-                  .dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "text"), "points")
+    points = save(_points(src, able, odd, k), "points")
     labels, edges = link_components(voronoi_windows(points, percent, k), points, percent, k, solve)
     if odd.take(1):
         same = whole.join(odd, "doc_id").select(F.col("first").alias("a"), F.col("point").alias("b")).where("a <> b").distinct()

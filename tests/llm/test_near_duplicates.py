@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from pricecraft.llm import jaccard, neardup
+from pricecraft.llm import common, jaccard, neardup
 
 SCHEMA = "doc_id long, text string, n_shingles string, component_id string, region int"
 
@@ -69,6 +69,30 @@ def test_repeated_and_missing_ids(spark):
         sorted([(3, 56, 1), (3, 56, 1), (1, 56, 1), (None, 56, 1), (7, 0, 7)], key=str)
 
 
+def test_ids_with_blank_rows(spark):
+    """Rows without a word do not stand for another row of their id."""
+    t = " ".join(f"v{i}" for i in range(60))
+    rows = [(3, None), (3, ""), (3, t), (3, " \n"), (8, t + " end"), (8, None), (9, None)]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame(spark, rows)).collect()]
+    assert sorted(got) == [(3, 0, 3)] * 3 + [(3, 56, 3), (8, 0, 8), (8, 57, 3), (9, 0, 9)]
+
+
+def test_ids_too_many_to_broadcast(spark, monkeypatch):
+    """Beyond the bound texts are joined by shuffles, with the same result."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    rng = random.Random(5)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(80)]
+        for c in range(8):
+            words = list(base)
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(80)] = f"x{g}_{c}_{rng.random()}"
+            rows.append((100 * g + c, " ".join(words)))
+    assert components(frame(spark, rows)) == brute_components(rows)
+    assert components(frame(spark, rows), solve=200) == brute_components(rows)
+
+
 def test_table(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     assert components(d) == brute_components([tuple(r) for r in d.collect()])
