@@ -202,6 +202,43 @@ def ordered_target_stats(df: DataFrame, col: str, target: str, key: str,
                                         "_ots_n_before", "_ots_y_before")
 
 
+def ordered_target_stats_many(df: DataFrame, cols: Sequence[str | Sequence[str]], target: str, key: str,
+                              salts: Sequence[str] = ("0", "1", "2"), prior: Column | None = None,
+                              prior_weight: float = 1.0, missing: str = MISSING_LABEL) -> DataFrame:
+    """(key, ``<col>_ots`` ...): ordered target statistics of several categories,
+    averaged over several orders of the rows, one order per salt.
+
+    An entry of ``cols`` is a column or a list of columns; a list is one combined
+    category, named ``<a>_<b>_ots``.  Missing values are a category of their own,
+    also inside combinations.  Rows without a target are encoded but not
+    counted.  ``key`` must be unique and not NULL; an empty table gives an empty
+    one.  Order p of a row is the md5 of its salt and key.  All categories and
+    orders go through one exchange of their running sums (``prefix_sums``, which
+    splits hot categories), and a second one brings a row's averages together.
+    """
+    groups = [[c] if isinstance(c, str) else list(c) for c in cols]
+    names = ["_".join(g) + "_ots" for g in groups]
+    prior = prior if prior is not None else global_mean(df, target)
+    kind = df.schema[target].dataType if isinstance(df.schema[target].dataType, DecimalType) else DoubleType()
+    # a length before each value keeps ('a', 'bc') and ('ab', 'c') apart
+    values = [[F.coalesce(F.col(c).cast("string"), F.lit(missing)) for c in g] for g in groups]
+    keyed = [F.concat(*(F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in vs)) for vs in values]
+    cats = F.array(*(F.struct(F.lit(i).alias("i"), v.alias("v")) for i, v in enumerate(keyed)))
+    orders = F.array(*(F.struct(F.lit(p).alias("p"), md5_order(F.concat(F.lit(f"{s}:"), F.col(key).cast("string"))).alias("h"))
+                       for p, s in enumerate(salts)))
+    rows = df.select(F.col(key).alias("_key"), cats.alias("_cats"), orders.alias("_orders"),
+                     F.when(F.col(target).isNotNull(), 1).otherwise(0).cast("long").alias("_n"),
+                     F.coalesce(F.col(target).cast(kind), F.lit(0).cast(kind)).alias("_y"))
+    long = rows.select("_key", "_orders", "_n", "_y", F.explode("_cats").alias("_c")) \
+        .select("_key", "_n", "_y", "_c", F.explode("_orders").alias("_o")) \
+        .select("_key", "_n", "_y", F.col("_c.i").alias("_i"), F.col("_c.v").alias("_v"), F.col("_o.p").alias("_p"), F.col("_o.h").alias("_h"))
+    ps = prefix_sums(long, ["_i", "_v", "_p"], ["_h", "_key"], ["_n", "_y"], hash_segment(F.col("_h")))
+    a = F.lit(float(prior_weight))
+    enc = (F.col("_y_before").cast("double") + a * prior) / (F.col("_n_before") + a)
+    return ps.withColumn("_enc", enc).groupBy(F.col("_key").alias(key)) \
+        .agg(*(F.avg(F.when(F.col("_i") == i, F.col("_enc"))).alias(n) for i, n in enumerate(names)))
+
+
 # ------------------------------------------------------------ imputation
 
 

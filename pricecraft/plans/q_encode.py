@@ -174,6 +174,29 @@ def q_ordered_target_stats(spark, sf):
     return out.select("sale_key", "body_type", "body_type_ots")
 
 
+OTS_SALTS = ("0", "1", "2")
+OTS_COLS = {"body_type": ["body_type"], "brand_gearbox": ["brand", "gearbox"]}
+
+
+def _ots_many_sql() -> str:
+    part, sel = {n: ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'missing')" for c in cs) for n, cs in OTS_COLS.items()}, []
+    for n in OTS_COLS:
+        encs = [f"(CAST(coalesce(sum(p) OVER {n}_{s}, 0) AS DOUBLE) + g) / (coalesce(count(p) OVER {n}_{s}, 0) + CAST(1 AS DOUBLE))" for s in OTS_SALTS]
+        sel.append(f"({' + '.join(encs)}) / {len(encs)} AS {n}_ots")
+    windows = [f"{n}_{s} AS (PARTITION BY {part[n]} ORDER BY ('0x' || substr(md5('{s}:' || CAST(sale_key AS VARCHAR)), 1, 8))::BIGINT, sale_key "
+               "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for n in OTS_COLS for s in OTS_SALTS]
+    return (f"SELECT sale_key, {', '.join(sel)} FROM (SELECT *, CAST(price AS DECIMAL(18, 2)) AS p FROM train), "
+            "(SELECT CAST(sum(CAST(price AS DECIMAL(18, 2))) AS DOUBLE) / count(price) AS g FROM train) WINDOW " + ", ".join(windows))
+
+
+@register("ordered_target_stats_many", _ots_many_sql(), rounds={f"{n}_ots": 6 for n in OTS_COLS})
+def q_ordered_target_stats_many(spark, sf):
+    cols = sorted({c for cs in OTS_COLS.values() for c in cs})
+    d = TRAIN(spark, sf).select("sale_key", *cols, F.col("price").cast("decimal(18,2)").alias("price"))
+    mean = d.agg(F.sum("price").cast("double") / F.count("price")).scalar()
+    return E.ordered_target_stats_many(d, list(OTS_COLS.values()), "price", "sale_key", OTS_SALTS, prior=mean)
+
+
 IMP_CTE = """
 ctr AS (SELECT *, TRY_CAST(nullif(not_repaired, '-') AS DOUBLE) AS nr FROM train),
 cte AS (SELECT *, TRY_CAST(nullif(not_repaired, '-') AS DOUBLE) AS nr FROM test),

@@ -153,6 +153,23 @@ def test_category_codes_shared_unseen(spark, path):
     assert got == {"a": 0, "z": -1, None: -1}
 
 
+def test_ordered_target_stats_of_many_orders_and_combinations(spark):
+    rows = [(f"k{i}", None if i % 7 == 0 else "ab"[i % 2], ["bc", "c", None][i % 3], None if i % 5 == 0 else float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, a string, b string, y double")
+    got = {r.key: (r.a_ots, r.a_b_ots) for r in E.ordered_target_stats_many(df, ["a", ["a", "b"]], "y", "key", ("s", "t"), prior=F.lit(2.0)).collect()}
+
+    def brute(me, of):
+        encs = []
+        for s in "st":
+            order = lambda r: (hashlib.md5(f"{s}:{r[0]}".encode()).hexdigest()[:8], r[0])
+            before = [r[3] for r in rows if of(r) == of(me) and order(r) < order(me) and r[3] is not None]
+            encs.append((sum(before) + 2.0) / (len(before) + 1))
+        return sum(encs) / 2
+    for r in rows:
+        assert got[r[0]] == pytest.approx((brute(r, lambda x: x[1]), brute(r, lambda x: x[1:3])))
+    assert E.ordered_target_stats_many(df.limit(0), ["a"], "y", "key").count() == 0
+
+
 def test_ordered_target_stats_uses_only_earlier_rows(spark):
     pdf = pd.DataFrame({"key": [f"k{i}" for i in range(40)], "c": ["x"] * 30 + ["y"] * 10,
                         "y": np.arange(40, dtype=float)})
