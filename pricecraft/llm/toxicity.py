@@ -283,12 +283,19 @@ def fit_logistic(x: list[list[float]], y: list[int], ridge: float = 1.0) -> tupl
         z = np.hstack([(a - shift) / scale, np.ones((len(a), 1))])
         reg = np.full(width + 1, ridge)
         reg[-1] = 0
+
+        def loss(w):
+            return np.logaddexp(0, np.where(t > 0, -1, 1) * (z @ w)).sum() + (reg * w * w).sum() / 2
+        now = loss(w)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
             step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(reg), z.T @ (t - p) - reg * w)
-            w = w + step
+            # a whole step may go beyond the minimum (few rows far from the others) and never come back
+            while (then := loss(w + step)) > now and np.abs(step).max() >= 1e-8:
+                step = step / 2
             if np.abs(step).max() < 1e-8:
                 break
+            w, now = w + step, then
     return w.tolist(), shift.tolist(), scale.tolist()
 
 

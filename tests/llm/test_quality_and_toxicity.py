@@ -177,6 +177,19 @@ def test_toxicity_edges(spark):
     assert toxicity.score_held_out(rows.limit(0), some).count() == 0
 
 
+def test_the_logistic_fit_does_not_run_away():
+    """Few toxic texts with gains far beyond the others: whole Newton steps went to weights of 7e8 here."""
+    r = np.random.default_rng(10)
+    n = int(r.integers(40, 160))
+    y = (r.random(n) < 0.1).astype(int)
+    x = [toxicity.features(r.poisson(0.2, int(r.integers(1, 100))).astype(float) + (20 * (r.random() < 0.6) if v else 0) * (np.arange(1) == 0)) for v in y]
+    w, shift, scale = map(np.array, toxicity.fit_logistic(x, y.tolist()))
+    z = np.hstack([(np.array(x) - shift) / scale, np.ones((n, 1))])
+    slope = z.T @ (y - 1 / (1 + np.exp(-z @ w))) - np.append(w[:-1], 0)
+    assert np.abs(w).max() < 10 and np.abs(slope).max() < 1e-5
+    assert (z @ w)[y == 1].mean() > (z @ w)[y == 0].mean() + 1
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.text(max_size=200))
 def test_windows_hold_every_word(text):
