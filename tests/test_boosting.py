@@ -140,3 +140,34 @@ def test_empty_and_constant_tables(spark):
     assert [r.prediction for r in B.score_boosted(model, df).distinct().collect()] == [3.0]
     none = B.fit_boosted(df.limit(0), "y", ["x"], ["c"], rounds=2)
     assert none.base == 0.0 and B.score_boosted(none, df).count() == 21
+
+
+def test_one_feature_takes_a_job_a_round(spark):
+    """A whole tree on one feature follows from the root's sums; before, each of its levels was a job."""
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"c": rng.choice([f"v{i}" for i in range(20)], 2000), "key": np.arange(2000)})
+    pdf["y"] = pdf.c.str[1:].astype(float) ** 2 + rng.normal(size=2000)
+    df = spark.createDataFrame(pdf)
+    sc = spark.sparkContext
+
+    def jobs(rounds):
+        sc.setJobGroup(f"boost-{rounds}", "")
+        model = B.fit_boosted(df, "y", [], ["c"], rounds=rounds, depth=40, step=0.5, **ALL)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(f"boost-{rounds}")), model
+    few, _ = jobs(1)
+    more, model = jobs(4)
+    assert more - few == 3
+    mean, total = pdf.groupby("c").y.mean(), pdf.y.mean()
+    for r in B.score_boosted(model, df, ["c"]).distinct().collect():
+        assert r.prediction == pytest.approx(mean[r.c] - 0.5 ** 4 * (mean[r.c] - total), rel=1e-9)
+
+
+def test_sums_of_the_driver_and_of_the_shuffle_agree(spark, monkeypatch):
+    df = spark.createDataFrame(toy(spark, 1500, 9)).repartition(3)
+    fit = lambda: B.fit_boosted(df, "y", ["x1", "x2"], ["c"], rounds=2, depth=3, valid=df.where("key % 7 = 0"))
+    a = fit()
+    monkeypatch.setattr(B, "DRIVER_BYTES", 0)
+    b = fit()
+    assert [t.feature for t in a.trees] == [t.feature for t in b.trees] and [t.value for t in a.trees] == [t.value for t in b.trees]
+    assert a.history == b.history
