@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from .bpe import LONG_KEY, chunk_keys
 from .common import text_chunks, worker_store
 
 MEMO_CHUNKS = 600_000       # chunks a worker remembers (a cache: results do not depend on it)
+LETTERS_END = "\u0530"      # below it, Unicode versions agree on what a letter is
 CALL_CHARS = 10_000         # text given to the tokenizer in one call (longer calls are slower a byte)
 
 
@@ -28,7 +30,7 @@ class Encoder:
     """ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.tok.encode_special_tokens = True       # texts come without them (``WithAdded``)
         vocab = self.tok.get_vocab()
@@ -37,6 +39,12 @@ class Encoder:
             self.length[i] = len(piece)             # one character stands for one byte
         self.stop = {c: self._ids(c).tobytes() for c in ",."}
         self.memo: dict[str, bytes] = {}
+        # a space and letters are one word to the pattern: such words go to the model by themselves, written as its bytes' characters
+        self.words = None
+        if plain_byte_level(json.loads(tokenizer_json)):
+            self.words = Tokenizer(self.tok.model)
+            self.words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+            self.to_model = {b: c for c, b in byte_characters().items()} | {ord("\n"): " "}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -50,7 +58,19 @@ class Encoder:
         first = [k for k in plain if k[:1] == " "]
         for k in first:
             memo[k] = self._ids(k[1:]).tobytes() if len(k) > 1 else b""
-        run = list(letters.union(plain).difference(first))
+        rest = letters.union(plain).difference(first)
+        words = [k for k in rest if k.isalpha() and (k.isascii() or max(k) < LETTERS_END)] if self.words else []
+        self._encode(words, self._word_ids)
+        self._encode(list(rest.difference(words)), lambda part: self._ids(" " + " ".join(part)))
+        memo.update([(k, memo[k[:-1]] + stop[k[-1]]) for k in ended])
+
+    def _word_ids(self, words: list[str]) -> np.ndarray:
+        text = " " + "\n ".join(words)
+        text = (text if text.isascii() else text.encode().decode("latin-1")).translate(self.to_model)
+        return np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _encode(self, run: list[str], ids_of) -> None:
+        """Remember the ids of chunks, each with a space before it, many in a call."""
         at = 0
         while at < len(run):
             size, i = 0, at
@@ -58,20 +78,20 @@ class Encoder:
                 size += len(run[at]) + 1
                 at += 1
             part = run[i:at]
-            ids = self._ids(" " + " ".join(part))
+            ids = ids_of(part)
             ends = np.cumsum([len(x.encode()) + 1 for x in part])
             cut = (np.searchsorted(np.cumsum(self.length[ids]), ends) + 1) * 4
             raw = ids.tobytes()
             ends = cut.tolist()
-            memo.update(zip(part, [raw[x:y] for x, y in zip([0, *ends], ends)]))
-        memo.update([(k, memo[k[:-1]] + stop[k[-1]]) for k in ended])
+            self.memo.update(zip(part, [raw[x:y] for x, y in zip([0, *ends], ends)]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [chunk_keys(t) if t else () for t in texts]
-        used: set[str] = set().union(*cut)
         if len(self.memo) > MEMO_CHUNKS:            # keep what this slice has: the frequent ones are among it
-            self.memo = {k: self.memo[k] for k in used.intersection(self.memo)}
-        new = used.difference(self.memo)
+            self.memo = {k: self.memo[k] for k in set().union(*cut).intersection(self.memo)}
+        known, new = self.memo.__contains__, set()
+        for keys in cut:
+            new.update(filterfalse(known, keys))
         self._learn(list(new))
         get = self.memo.__getitem__
         out = [b"".join(map(get, keys)) for keys in cut]
@@ -93,15 +113,20 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def plain_byte_level(j: dict) -> bool:
+    """A byte-level BPE file whose words are cut by ``BYTE_LEVEL_PATTERN`` alone."""
+    model, pre = j["model"], j.get("pre_tokenizer") or {}
+    return (j.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+            and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                                              "byte_fallback", "ignore_merges")))
+
+
 def merge_ranks(tokenizer_json: str) -> dict[bytes, int] | None:
     """Piece -> id if the file is a plain byte-level BPE whose merges are in
     the order of their ids, so that ids can serve as merge ranks; else None."""
     j = json.loads(tokenizer_json)
-    model, pre = j["model"], j.get("pre_tokenizer") or {}
-    plain = (j.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-             and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
-                                                                                 "byte_fallback", "ignore_merges")))
-    if not plain:
+    model = j["model"]
+    if not plain_byte_level(j):
         return None
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     ids = [model["vocab"].get(x + y, -1) for x, y in merges]

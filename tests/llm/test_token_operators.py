@@ -66,6 +66,21 @@ def test_long_texts_without_a_space_are_not_remembered():
     assert all(len(k) <= 64 for k in words)
 
 
+def test_words_of_letters_go_to_the_model_by_themselves():
+    """Only what the pattern must cut runs through it; ids are the library's."""
+    with open(JSON, encoding="utf-8") as f:
+        enc = tokens.Encoder(f.read())
+    hf = Tokenizer.from_file(JSON)
+    rnd = random.Random(11)
+    texts = [" ".join("".join(rnd.choice("abcxyzéßñЖж") for _ in range(rnd.randint(1, 12))) + rnd.choice(["", "", ",", ".", "!", "7", "'s", ".\nQ", "\u4e2d", "\u0301"])
+                      for _ in range(40)) for _ in range(50)]
+    assert enc.encode(texts) == [u32(hf.encode(t, add_special_tokens=False).ids) for t in texts]
+    given, real = [], enc._ids
+    enc._ids = lambda text: given.append(text) or real(text)
+    enc.encode(["erste qwortß qwörter, qend"])
+    assert [g.strip() for g in given] == ["erste"]
+
+
 def u32(ids):
     return np.array(ids, "<u4").tobytes()
 
