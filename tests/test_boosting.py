@@ -171,3 +171,50 @@ def test_sums_of_the_driver_and_of_the_shuffle_agree(spark, monkeypatch):
     b = fit()
     assert [t.feature for t in a.trees] == [t.feature for t in b.trees] and [t.value for t in a.trees] == [t.value for t in b.trees]
     assert a.history == b.history
+
+
+@pytest.mark.parametrize("values", [7, 400])
+def test_medians_from_narrowed_brackets(spark, monkeypatch, values):
+    """Exact medians, also where few values travel and half of a leaf's rows are equal."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"c": rng.choice(list("abcde"), 4001), "key": np.arange(4001)})
+    pdf["y"] = np.where(pdf.c == "a", rng.integers(0, 2, 4001), np.where(pdf.c == "b", 3.0, rng.normal(0, 1e4, 4001)))
+    df = spark.createDataFrame(pdf).repartition(3).cache()
+    monkeypatch.setattr(B, "MEDIAN_VALUES", values)
+    asked = []
+    real = B._Loop._residuals
+    monkeypatch.setattr(B._Loop, "_residuals", lambda self, *a: asked.append(real(self, *a)) or asked[-1])
+    model = B.fit_boosted(df, "y", [], ["c"], rounds=1, depth=6, step=1.0, loss="absolute", **ALL)
+    got = {r.c: r.prediction for r in B.score_boosted(model, df, ["c"]).distinct().collect()}
+    want = pdf.groupby("c").y.median().to_dict()
+    assert got == pytest.approx(want, abs=1e-9) and len(asked) > 1
+    df.unpersist()
+
+
+def test_gains_of_single_features_need_one_store(spark, monkeypatch):
+    df = spark.createDataFrame(toy(spark)).repartition(3)
+    alone = {}
+    for c, own in (("x1", (["x1"], [])), ("c", ([], ["c"]))):
+        alone[c] = sum(g for t in B.fit_boosted(df, "y", *own, rounds=1, depth=5, step=1.0, **ALL).trees for g in t.gain)
+    stores = []
+    real = B._Loop._write
+    monkeypatch.setattr(B._Loop, "_write", lambda self, rows: stores.append(1) or real(self, rows))
+    assert B.gains_alone(df, "y", ["x1"], ["c"], depth=5) == pytest.approx(alone, rel=1e-9)
+    assert len(stores) == 1
+    monkeypatch.setattr(B, "DRIVER_BYTES", 0)
+    assert B.gains_alone(df, "y", ["x1"], ["c"], depth=5) == pytest.approx(alone, rel=1e-9)
+
+
+def test_a_tree_is_put_into_the_scores_once(spark, monkeypatch):
+    """Levels read scores as they stand; nothing stays with the executors."""
+    df = spark.createDataFrame(toy(spark)).repartition(3)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    put = []
+    real = B._Loop.put
+    monkeypatch.setattr(B._Loop, "put", lambda self, tree, number, final: put.append(number) or real(self, tree, number, final))
+    fits = [B.fit_boosted(df, "y", ["x1", "x2"], ["c"], rounds=5, depth=3, step=0.5, write_every=n) for n in (1, 2, 9)]
+    assert put == [1, 2, 3, 4, 5] * 3
+    for m in fits[1:]:
+        for t, u in zip(m.trees, fits[0].trees, strict=True):
+            assert t.feature == u.feature and t.value == pytest.approx(u.value, rel=1e-9, abs=1e-9)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
