@@ -21,7 +21,10 @@ def duck(sql: str, sf_dir: str) -> pd.DataFrame:
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    return con.sql(sql).df()
+    pdf = con.sql(sql).df()
+    # newer DuckDB gives integers with NULLs as Int64; Spark's toPandas gives them as float64
+    nullable = [c for c in pdf.columns if isinstance(pdf[c].dtype, pd.api.extensions.ExtensionDtype) and pdf[c].dtype.kind in "iu" and pdf[c].isna().any()]
+    return pdf.astype({c: "float64" for c in nullable})
 
 
 def _norm(v):
