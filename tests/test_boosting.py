@@ -218,3 +218,18 @@ def test_a_tree_is_put_into_the_scores_once(spark, monkeypatch):
         for t, u in zip(m.trees, fits[0].trees, strict=True):
             assert t.feature == u.feature and t.value == pytest.approx(u.value, rel=1e-9, abs=1e-9)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_rows_of_one_task_are_dealt_over_all(spark, monkeypatch):
+    """Before, rows that came in one task stayed in one task for all passes."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    df = spark.createDataFrame(toy(spark, 2000, 12)).coalesce(1)
+    sizes = []
+    real = B._Loop.put
+
+    def put(self, *a, **kw):
+        sizes.append(self.blocks.map(lambda b: len(b[0])).glom().map(sum).collect())
+        real(self, *a, **kw)
+    monkeypatch.setattr(B._Loop, "put", put)
+    B.fit_boosted(df, "y", ["x1", "x2"], ["c"], rounds=1, depth=2)
+    assert sum(sizes[0]) == 2000 and max(sizes[0]) < 1000
