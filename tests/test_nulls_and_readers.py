@@ -72,3 +72,17 @@ def test_histograms_keep_empty_bins(spark):
     got = {(r.column, r.bin): r for r in P.histogram_many(df, ["a", "b"], 5).collect()}
     assert len(got) == 10 and [got["a", i]["count"] for i in range(5)] == [1, 0, 0, 0, 1]
     assert (got["a", 1].lo, got["a", 1].hi) == (2.0, 4.0)
+
+
+def test_a_listings_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One task's file has many row groups; before, a row group took in up to 128 MB."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from pricecraft.sources import listings as S
+    monkeypatch.setattr(S, "ROW_GROUP_BYTES", 64 << 10)
+    df = spark.range(100_000).selectExpr("id", "rand(1) AS v", "'train' AS source").coalesce(1)
+    S._write_by_source(df, f"{tmp_path}/l")
+    files = glob.glob(f"{tmp_path}/l/source=train/*.parquet")
+    assert sum(pq.read_metadata(f).num_row_groups for f in files) > 4 and spark.read.parquet(f"{tmp_path}/l").count() == 100_000
