@@ -233,3 +233,33 @@ def test_rows_of_one_task_are_dealt_over_all(spark, monkeypatch):
     monkeypatch.setattr(B._Loop, "put", put)
     B.fit_boosted(df, "y", ["x1", "x2"], ["c"], rounds=1, depth=2)
     assert sum(sizes[0]) == 2000 and max(sizes[0]) < 1000
+
+
+def test_a_pass_has_no_more_tasks_than_cores_until_they_are_full(spark, monkeypatch):
+    """Many small files of blocks, each a split of its own, are still few tasks."""
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.uniform(size=4000), "key": np.arange(4000)}).assign(y=rng.normal(size=4000))).repartition(60)
+    cost, cores = "spark.sql.files.openCostInBytes", spark.sparkContext.defaultParallelism
+    spark.conf.set(cost, str(128 << 20))
+    try:
+        args = df, "y", ["x"], [], "key", None, 0.1, "squared", 8, None, 1, 1.0, 1, 0.0, 5
+        loop = B._prepare(*args)
+        assert loop.tasks == loop.blocks.getNumPartitions() <= cores
+        assert sum(len(b[0]) for b in loop.blocks.collect()) == 4000
+        loop.close()
+        monkeypatch.setattr(B, "TASK_BYTES", 512)                   # full tasks: more of them
+        loop = B._prepare(*args)
+        assert loop.tasks > cores
+        loop.close()
+    finally:
+        spark.conf.unset(cost)
+
+
+def test_leaves_of_some_rows_are_those_of_all():
+    rng = np.random.default_rng(12)
+    for width in (1, 3):
+        x, tree = rng.integers(0, 9, (width, 500)).astype(np.uint8), B.Tree()
+        for node in (0, 1, 2):
+            tree.split(node, node % width, rng.random(9) < 0.5, 1.0, (0.0, 0.0))
+        rows = np.flatnonzero(rng.random(500) < 0.6)
+        assert (B.leaves(tree.frozen(), x, rows) == B.leaves(tree.frozen(), x)[rows]).all()
