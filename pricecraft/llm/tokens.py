@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from itertools import filterfalse
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -21,53 +21,79 @@ from pyspark.sql import functions as F
 from .bpe import LONG_KEY, chunk_keys
 from .common import text_chunks, worker_store
 
-MEMO_CHUNKS = 600_000       # chunks a worker remembers (a cache: results do not depend on it)
-LETTERS_END = "\u0530"      # below it, Unicode versions agree on what a letter is
+MEMO_CHUNKS = 1_000_000     # chunks a worker remembers (a cache: results do not depend on it)
+LETTERS_END = 0x530         # below it, Unicode versions agree on what a letter is
 CALL_CHARS = 10_000         # text given to the tokenizer in one call (longer calls are slower a byte)
 
+_LETTERS = "[" + "".join(re.escape(chr(i)) for i in range(LETTERS_END) if chr(i).isalpha()) + "]+"
+_MARKS = r"[!-&(-/:-@\[-`{-~]*"         # ASCII but letters, digits and the apostrophe (which begins words of its own)
+#: Chunk keys whose words are plain: letters, marks right after them, and the same again on a next line.
+_PLAIN = re.compile(f"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?").fullmatch
+
 
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.tok.encode_special_tokens = True       # texts come without them (``WithAdded``)
         vocab = self.tok.get_vocab()
         self.length = np.zeros(max(vocab.values()) + 1, np.int64)
         for piece, i in vocab.items():
             self.length[i] = len(piece)             # one character stands for one byte
-        self.stop = {c: self._ids(c).tobytes() for c in ",."}
         self.memo: dict[str, bytes] = {}
-        # a space and letters are one word to the pattern: such words go to the model by themselves, written as its bytes' characters
-        self.words = None
-        if plain_byte_level(json.loads(tokenizer_json)):
-            self.words = Tokenizer(self.tok.model)
-            self.words.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
-            self.to_model = {b: c for c, b in byte_characters().items()} | {ord("\n"): " "}
+        #: Words as the pattern cuts them, those with a space before them apart.
+        self.spaced: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        # what the pattern cuts by a simple rule goes to the library's model by itself, written as its bytes' characters
+        self.model = self.tok.model if plain_byte_level(json.loads(tokenizer_json)) else None
+        self.to_model = {b: c for c, b in byte_characters().items()}
+        self.space = self.to_model[ord(" ")]
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _word(self, word: str, before: str = "") -> bytes:
+        """ids of one word of the pattern; ``before`` stands in the model's characters."""
+        if not word.isascii() or word == "\n":
+            word = word.encode().decode("latin-1").translate(self.to_model)
+        ids = [t.id for t in self.model.tokenize(before + word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _spaced(self, letters: str) -> bytes:
+        v = self.spaced.get(letters)
+        if v is None:
+            v = self.spaced[letters] = self._word(letters, self.space)
+        return v
+
+    def _bare(self, word: str) -> bytes:
+        v = self.bare.get(word)
+        if v is None:
+            v = self.bare[word] = self._word(word)
+        return v
+
     def _learn(self, keys: list[str]) -> None:
-        memo, stop = self.memo, self.stop
-        # letters and a final comma or stop are two words to the tokenizer: the letters alone are looked up
-        ended = [k for k in keys if k[-1:] in stop and k[:-1].isalpha()]
-        letters = {k[:-1] for k in ended}.difference(memo)
-        plain = set(keys).difference(ended)
-        first = [k for k in plain if k[:1] == " "]
-        for k in first:
-            memo[k] = self._ids(k[1:]).tobytes() if len(k) > 1 else b""
-        rest = letters.union(plain).difference(first)
-        words = [k for k in rest if k.isalpha() and (k.isascii() or max(k) < LETTERS_END)] if self.words else []
-        self._encode(words, self._word_ids)
-        self._encode(list(rest.difference(words)), lambda part: self._ids(" " + " ".join(part)))
-        memo.update([(k, memo[k[:-1]] + stop[k[-1]]) for k in ended])
-
-    def _word_ids(self, words: list[str]) -> np.ndarray:
-        text = " " + "\n ".join(words)
-        text = (text if text.isascii() else text.encode().decode("latin-1")).translate(self.to_model)
-        return np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        memo, bare, rest = self.memo, self._bare, []
+        for d in (self.spaced, self.bare):
+            if len(d) > MEMO_CHUNKS:
+                d.clear()
+        for k in keys:
+            m = _PLAIN(k) if self.model and len(k) <= LONG_KEY else None
+            if m is None:
+                rest.append(k)
+                continue
+            a, b, c, d = m.groups()
+            v = self._spaced(a) if b or c else self._word(a, self.space)
+            if b:
+                v += bare(b)
+            if c:
+                v += bare("\n") + bare(c) + (bare(d) if d else b"")
+            memo[k] = v
+        for k in rest:
+            if k[:1] == " ":
+                memo[k] = self._ids(k[1:]).tobytes() if len(k) > 1 else b""
+        self._encode([k for k in rest if k[:1] != " "], lambda part: self._ids(" " + " ".join(part)))
 
     def _encode(self, run: list[str], ids_of) -> None:
         """Remember the ids of chunks, each with a space before it, many in a call."""
@@ -89,16 +115,20 @@ class Encoder:
         cut = [chunk_keys(t) if t else () for t in texts]
         if len(self.memo) > MEMO_CHUNKS:            # keep what this slice has: the frequent ones are among it
             self.memo = {k: self.memo[k] for k in set().union(*cut).intersection(self.memo)}
-        known, new = self.memo.__contains__, set()
+        get, found, new = self.memo.get, [], set()
         for keys in cut:
-            new.update(filterfalse(known, keys))
+            ids = list(map(get, keys))
+            gaps = [i for i, v in enumerate(ids) if v is None] if None in ids else ()
+            new.update([keys[i] for i in gaps])
+            found.append((ids, gaps))
         self._learn(list(new))
-        get = self.memo.__getitem__
-        out = [b"".join(map(get, keys)) for keys in cut]
+        for keys, (ids, gaps) in zip(cut, found):
+            for i in gaps:
+                ids[i] = self.memo[keys[i]]
         for k in new:
             if len(k) > LONG_KEY:                   # the memo is bounded in bytes by its entries
                 del self.memo[k]
-        return out
+        return [b"".join(ids) for ids, _ in found]
 
 
 #: Fixed value: the pattern by which a byte-level pre-tokenizer cuts words.

@@ -81,6 +81,23 @@ def test_words_of_letters_go_to_the_model_by_themselves():
     assert [g.strip() for g in given] == ["erste"]
 
 
+def test_marks_and_next_lines_do_not_run_through_the_pattern():
+    """Letters with marks after them, also over a line's end, are cut by rule."""
+    with open(JSON, encoding="utf-8") as f:
+        enc = tokens.Encoder(f.read())
+    hf = Tokenizer.from_file(JSON)
+    rnd = random.Random(12)
+    marks = ["", ",", ".", "***", ".!!", "&&&", "'s", "'", "-", "_", "\u00bd", "\u2026", ".\n", "\n", "\n\n", ".\nQu", "\n\u00c9t\u00e9!", ".\nA1", "\r\nb", "\n.b", "7", "\u0531"]
+    texts = [rnd.choice(["", " ", "\n"]) + " ".join("".join(rnd.choice("abcxyz\u00e9\u00df\u0416") for _ in range(rnd.randint(0, 9))) + rnd.choice(marks)
+                                                  for _ in range(40)) for _ in range(200)]
+    for _ in range(2):
+        assert enc.encode(texts) == [u32(hf.encode(t, add_special_tokens=False).ids) for t in texts]
+    given, real = [], enc._ids
+    enc._ids = lambda text: given.append(text) or real(text)
+    assert enc.encode(["erste qwort*** qw\u00f6rter.!!\nQ\u00fcnd, qa.\nqb qa qc"]) == [u32(hf.encode("erste qwort*** qw\u00f6rter.!!\nQ\u00fcnd, qa.\nqb qa qc", add_special_tokens=False).ids)]
+    assert [g.strip() for g in given] == ["erste"]
+
+
 def u32(ids):
     return np.array(ids, "<u4").tobytes()
 
