@@ -63,11 +63,9 @@ def pack_segment(values: np.ndarray, percentile: float = PERCENTILE) -> bytes:
         rows = np.flatnonzero(width == w)
         if not w:
             continue
-        part = np.where(patch[rows], 0, x[rows])
-        cols = np.empty((len(rows), BLOCK, w), np.uint8)
-        for j in range(w):
-            cols[:, :, j] = (part >> np.uint32(j)) & np.uint32(1)
-        raw = np.packbits(cols.reshape(len(rows), BLOCK * w), axis=1, bitorder="little")
+        part = np.where(patch[rows], 0, x[rows]).astype("<u4")
+        bits_of = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").reshape(len(rows), BLOCK, 32)
+        raw = np.packbits(bits_of[:, :, :w].reshape(len(rows), BLOCK * w), axis=1, bitorder="little")
         for i, r in zip(rows.tolist(), raw):
             packed[i] = r.tobytes()
     out, starts, at = [], np.zeros(nb + 1, np.uint32), 0
@@ -102,11 +100,9 @@ def unpack_segment(raw: bytes) -> np.ndarray:
         rows = np.flatnonzero(width == w)
         size = BLOCK * w // 8
         at = starts[rows][:, None] + _BLOCK_HEAD_SIZE + np.arange(size)
-        cols = np.unpackbits(buf[at], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        part = np.zeros((len(rows), BLOCK), np.uint32)
-        for j in range(w):
-            part |= cols[:, :, j].astype(np.uint32) << np.uint32(j)
-        x[rows] = part
+        bits_of = np.zeros((len(rows), BLOCK, 32), np.uint8)
+        bits_of[:, :, :w] = np.unpackbits(buf[at], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
+        x[rows] = np.packbits(bits_of.reshape(len(rows), BLOCK * 32), axis=1, bitorder="little").view("<u4")
     for i, (_, w, k) in enumerate(heads):
         if k:
             at = int(starts[i]) + _BLOCK_HEAD_SIZE + BLOCK * w // 8

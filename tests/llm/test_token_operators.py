@@ -265,6 +265,18 @@ def test_segments_round_trip(values):
         assert pfor.read_block(raw, i).tolist() == values[i * pfor.BLOCK:(i + 1) * pfor.BLOCK]
 
 
+def test_bits_of_a_block_are_in_ascending_order():
+    """The layout of packed bits, by a plain loop, for every width."""
+    rng = np.random.default_rng(5)
+    for w in range(1, 33):
+        v = rng.integers(0, 1 << w, 256, dtype=np.uint64).astype("<u4")
+        v[:2] = 0, (1 << w) - 1
+        raw = pfor.pack_segment(v, percentile=1.0)
+        width = max(int(x).bit_length() for x in v)
+        whole = sum(int(x) << (i * width) for i, x in enumerate(v.tolist()))
+        assert whole.to_bytes(256 * width // 8, "little") in raw and (pfor.unpack_segment(raw) == v).all()
+
+
 def test_outliers_do_not_widen_a_block():
     v = np.arange(256, dtype=np.uint32) % 8
     narrow = len(pfor.pack_segment(v))
