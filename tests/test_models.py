@@ -2,13 +2,19 @@
 |r| < 0.01), so on those tables the check is rows-only; learning itself is
 checked on a small hand-made table whose label depends on the features."""
 
+import inspect
+from unittest.mock import MagicMock
+
 import numpy as np
 import pandas as pd
+import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from pricecraft.operators import boosting
 from pricecraft.operators import models as M
 from pricecraft.operators.evaluate import regression_metrics
+from pricecraft.plans import q_models
 
 
 def _toy(spark, n=2000, seed=0):
@@ -45,3 +51,26 @@ def test_registered_model_queries_rows(spark):
     assert set(tree) == {"train", "valid"} and tree["train"].rmse < tree["valid"].rmse
     pdf = q["feature_importance"](spark, SF_SMALL).toPandas()
     assert len(pdf) == 25 and abs(pdf.importance.sum() - 1.0) < 1e-9
+
+
+class _Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name,rounds,patience", [("fit_gbt", 200, None), ("score", 200, None), ("feature_importance", 200, None), ("eval_history", 200, None),
+                                                  ("model_facts", 200, None), ("fit_gbt_early_stop", 500, 20)])
+def test_registered_fits_run_the_rounds_of_the_source(monkeypatch, name, rounds, patience):
+    """Before, the fits without patience ran 60 of the 200 rounds."""
+    real = inspect.signature(boosting.fit_boosted)
+
+    def asked(*a, **kw):
+        b = real.bind(*a, **kw)
+        b.apply_defaults()
+        raise _Asked(b.arguments["rounds"], b.arguments["patience"])
+    monkeypatch.setattr(boosting, "fit_boosted", asked)
+    monkeypatch.setattr(q_models, "_frames", lambda spark, sf: (MagicMock(), MagicMock(), MagicMock()))
+    monkeypatch.setattr(q_models, "_once", lambda spark, sf, name, make: make())
+    monkeypatch.setattr(q_models.F, "log1p", lambda c: c)
+    with pytest.raises(_Asked) as e:
+        getattr(q_models, f"q_{name}")(None, "")
+    assert e.value.args == (rounds, patience)
