@@ -58,9 +58,9 @@ class _Asked(Exception):
 
 
 @pytest.mark.parametrize("name,rounds,patience", [("fit_gbt", 200, None), ("score", 200, None), ("feature_importance", 200, None), ("eval_history", 200, None),
-                                                  ("model_facts", 200, None), ("fit_gbt_early_stop", 500, 20)])
+                                                  ("model_facts", 200, None), ("fit_gbt_early_stop", 500, 20), ("fit_gbt_mae", 3000, 100)])
 def test_registered_fits_run_the_rounds_of_the_source(monkeypatch, name, rounds, patience):
-    """Before, the fits without patience ran 60 of the 200 rounds."""
+    """Before, the fits without patience ran 60 of the 200 rounds, and the absolute loss waited 20 rounds instead of 100."""
     real = inspect.signature(boosting.fit_boosted)
 
     def asked(*a, **kw):
