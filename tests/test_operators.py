@@ -170,6 +170,20 @@ def test_ordered_target_stats_of_many_orders_and_combinations(spark):
     assert E.ordered_target_stats_many(df.limit(0), ["a"], "y", "key").count() == 0
 
 
+def test_ordered_target_stats_many_moves_a_row_once_an_order(spark):
+    """Before, a row travelled once per category and order, and all of that once more by its key."""
+    n, salts, cols = 4000, ("s", "t"), ["a", "b", ["a", "b"]]
+    df = spark.range(n, numPartitions=4).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 3).cast("string").alias("a"),
+                                                (F.col("id") % 2).cast("string").alias("b"), F.col("id").cast("double").alias("y"))
+    out = E.ordered_target_stats_many(df, cols, "y", "key", salts, prior=F.lit(2.0))
+    assert "hashpartitioning(_key" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == n
+    # rows of one key give one row, those without a key give none
+    odd = df.where("id < 50").unionByName(df.where("id < 5")).unionByName(df.where("id < 3").withColumn("key", F.lit(None).cast("string")))
+    got = {r.key: r.a_ots for r in E.ordered_target_stats_many(odd, ["a"], "y", "key", salts, prior=F.lit(2.0)).collect()}
+    assert len(got) == 50 and None not in got and all(v is not None for v in got.values())
+
+
 def test_ordered_target_stats_uses_only_earlier_rows(spark):
     pdf = pd.DataFrame({"key": [f"k{i}" for i in range(40)], "c": ["x"] * 30 + ["y"] * 10,
                         "y": np.arange(40, dtype=float)})
