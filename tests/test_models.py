@@ -3,6 +3,7 @@
 checked on a small hand-made table whose label depends on the features."""
 
 import inspect
+from types import SimpleNamespace
 from unittest.mock import MagicMock
 
 import numpy as np
@@ -74,3 +75,11 @@ def test_registered_fits_run_the_rounds_of_the_source(monkeypatch, name, rounds,
     with pytest.raises(_Asked) as e:
         getattr(q_models, f"q_{name}")(None, "")
     assert e.value.args == (rounds, patience)
+
+
+def test_a_tree_is_fitted_in_a_task_a_core(spark, monkeypatch):
+    """Every task sends statistics of every node; before, there were as many tasks as file splits."""
+    seen, cores = [], spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(M, "Pipeline", lambda stages: SimpleNamespace(fit=lambda rows: seen.append((rows.rdd.getNumPartitions(), rows.count()))))
+    M.fit_tree(_toy(spark).repartition(5 * cores), ["x1", "x2"], "y")
+    assert seen == [(cores, 2000)]
