@@ -263,3 +263,38 @@ def test_leaves_of_some_rows_are_those_of_all():
             tree.split(node, node % width, rng.random(9) < 0.5, 1.0, (0.0, 0.0))
         rows = np.flatnonzero(rng.random(500) < 0.6)
         assert (B.leaves(tree.frozen(), x, rows) == B.leaves(tree.frozen(), x)[rows]).all()
+
+
+def test_bins_are_stored_once_and_a_round_keeps_scores_alone(spark, monkeypatch):
+    """Before, every round kept bins, hashes and labels anew, and every ``write_every`` rounds wrote them."""
+    df = spark.createDataFrame(toy(spark)).repartition(3)
+    stores, kept, files = [], [], set()
+    write, put = B._Loop._write, B._Loop.put
+    monkeypatch.setattr(B._Loop, "_write", lambda self, rows: stores.append(1) or write(self, rows))
+
+    def spy(self, *a, **kw):
+        put(self, *a, **kw)
+        kept.append(sum(s.nbytes for s in self.kept[-1].collect()))
+        files.update(f for f in (s.getCheckpointFile() for s in self.safe) if f)
+    monkeypatch.setattr(B._Loop, "put", spy)
+    B.fit_boosted(df, "y", ["x1", "x2"], ["c"], rounds=4, depth=3, write_every=1)
+    assert stores == [1] and kept == [8 * 3000] * 4
+    fs = spark._jvm.org.apache.hadoop.fs
+    assert len(files) == 3 and not any(fs.Path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(f)) for f in files)
+
+
+@pytest.mark.parametrize("loss", ["squared", "absolute"])
+def test_a_child_is_its_parent_less_the_other(spark, monkeypatch, loss):
+    """The trees are those of counting both children, in any partitioning."""
+    pdf = toy(spark, 2000, 13).assign(x3=lambda d: -d.x1, x4=lambda d: d.x2 * 2)             # equal gains: the first feature wins
+    fit = lambda n: B.fit_boosted(spark.createDataFrame(pdf).repartition(n), "y", ["x1", "x2", "x3", "x4"], ["c"], rounds=3, depth=4, loss=loss,
+                                  binning=B.Binning({c: sorted(np.quantile(pdf[c], [0.2, 0.4, 0.6, 0.8])) for c in ("x1", "x2", "x3", "x4")}, {"c": ["v1", "v2"]}))
+    derived = []
+    larger = B._Loop._larger
+    monkeypatch.setattr(B._Loop, "_larger", lambda self, *a: derived.append(larger(self, *a)) or derived[-1])
+    a, b = fit(1), fit(5)
+    assert any(derived)
+    monkeypatch.setattr(B._Loop, "_larger", lambda self, *a: {})
+    c = fit(3)
+    assert [t.feature for t in a.trees] == [t.feature for t in b.trees] == [t.feature for t in c.trees]
+    assert a.base != b.base or [t.value for t in a.trees] == [t.value for t in b.trees]
